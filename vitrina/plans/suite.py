@@ -1,96 +1,180 @@
-"""Running the whole contract and comparing two runs of it."""
+"""Running the whole contract, and comparing written runs of it."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.operators.compare import (
-    compare_ordered,
-    order_contract,
-    suite_summary,
-    typed_result,
-    union_all,
-)
-from vitrina.operators.ordinals import small_ordinal
+from vitrina.operators.compare import close, suite_summary, union_all
 from vitrina.plans.contract import CONTRACT, CONTRACT_ORDER
 from vitrina.sources.readers import read_result
 from vitrina.sources.writers import write_report
-from vitrina.spec import CatalogSpec
+from vitrina.spec import TOLERANCE, CatalogSpec
 
 
 def suite_results(clean: DataFrame, spec: CatalogSpec) -> DataFrame:
     """Number of result rows per query of the contract."""
     counts = [
-        query(clean, spec).agg(F.count(F.lit(1)).alias("filas_resultado")).select(
-            F.lit(name).alias("query_id"), "filas_resultado"
-        )
+        query(clean, spec)
+        .agg(F.count(F.lit(1)).alias("filas_resultado"))
+        .select(F.lit(name).alias("query_id"), "filas_resultado")
         for name, query in CONTRACT.items()
     ]
     return union_all(counts).orderBy("query_id")
 
 
-def write_suite(clean: DataFrame, spec: CatalogSpec, path: str) -> None:
-    """Write every result of the contract as an ordered CSV report under its query id."""
-    for name, query in CONTRACT.items():
-        write_report(query(clean, spec), f"{path}/{name}")
+def write_suite(clean: DataFrame, spec: CatalogSpec, path: str, parallel: int = 4) -> None:
+    """Write every result of the contract as an ordered CSV report under its query id.
+
+    A few queries are submitted at a time, so that the short last stages of one do not
+    leave the executors idle.
+    """
+
+    def write(name: str) -> None:
+        write_report(CONTRACT[name](clean, spec), f"{path}/{name}")
+
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(write, CONTRACT))
 
 
 def result_order(name: str) -> list[Column]:
-    """Sort columns of a contract result."""
+    """Sort columns of a contract result, NULLs last."""
     return [
         F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
         for column, descending in CONTRACT_ORDER[name]
     ]
 
 
-def file_ordinal(df: DataFrame, name: str = "posicion") -> DataFrame:
-    """Positions of the rows of a one-file report, in the order of the file.
-
-    The reader numbers the rows of a file as it goes; a report is far below the size at
-    which a file is split.
-    """
-    return df.withColumn(name, F.monotonically_increasing_id())
-
-
-def compare_suites(spark, expected_path: str, engines: dict[str, str]) -> DataFrame:
-    """Compare written suites with the expected one: rows per engine and query.
+def _written_rows(spark: SparkSession, path: str, engine: str) -> DataFrame:
+    """The rows of a written suite with their position in the file.
 
-    A query agrees when no cell differs and both results keep the promised order.
+    Columns become cells, so that results of different shape share a table. The reader
+    numbers the rows as it goes; a report is far below the size at which files are split.
     """
-    outcomes = []
+    rows = []
     for name, order in CONTRACT_ORDER.items():
-        expected = file_ordinal(typed_result(read_result(spark, f"{expected_path}/{name}")))
-        expected_order = order_contract(expected, "posicion", order).select(
-            F.col("ok").alias("expected_ok")
-        ).scalar()
-        for engine, path in engines.items():
-            actual = file_ordinal(typed_result(read_result(spark, f"{path}/{name}")))
-            kept = order_contract(actual, "posicion", order).select(F.col("ok")).scalar()
-            outcomes.append(
-                compare_ordered(expected, actual, "posicion")
-                .agg(F.count(F.lit(1)).alias("diferencias"))
-                .select(
-                    F.lit(engine).alias("motor"),
-                    F.lit(name).alias("query_id"),
-                    "diferencias",
-                    (expected_order & kept).alias("en_orden"),
-                )
+        result = read_result(spark, f"{path}/{name}")
+        cells = [
+            F.struct(
+                F.lit(column).alias("columna"), F.col(column).cast("string").alias("texto")
             )
-    return union_all(outcomes)
+            for column in result.columns
+        ]
+
+        def key(index: int) -> list[Column]:
+            present = index < len(order) and order[index][0] in result.columns
+            value = F.col(order[index][0]) if present else F.lit(None).cast("string")
+            descending = index < len(order) and order[index][1]
+            return [
+                value.cast("string").alias(f"key_{index}"),
+                F.lit(descending).alias(f"descending_{index}"),
+            ]
+
+        rows.append(
+            result.select(
+                F.lit(engine).alias("motor"),
+                F.lit(name).alias("query_id"),
+                F.monotonically_increasing_id().alias("posicion"),
+                F.array(*cells).alias("celdas"),
+                *key(0),
+                *key(1),
+            )
+        )
+    return union_all(rows)
+
+
+def _before(index: int) -> Column:
+    """Whether the next row's key belongs before this row's; numbers compare as numbers."""
+    here, there = F.col(f"key_{index}"), F.col(f"next_{index}")
+    a, b = there.try_cast("double"), here.try_cast("double")
+    numeric = a.isNotNull() & b.isNotNull()
+    less = F.when(numeric, a < b).otherwise(there < here)
+    more = F.when(numeric, a > b).otherwise(there > here)
+    strictly = F.when(F.col(f"descending_{index}"), more).otherwise(less)
+    return F.coalesce(strictly, there.isNotNull() & here.isNull())
+
+
+def _order_kept(rows: DataFrame) -> DataFrame:
+    """Per engine and query, whether the rows follow the promised order."""
+    keys = ["motor", "query_id"]
+    following = rows.select(
+        *keys,
+        (F.col("posicion") - 1).alias("posicion"),
+        F.col("key_0").alias("next_0"),
+        F.col("key_1").alias("next_1"),
+        F.lit(True).alias("followed"),
+    )
+    wrong = _before(0) | (F.col("key_0").eqNullSafe(F.col("next_0")) & _before(1))
+    return (
+        rows.join(following, [*keys, "posicion"], "left")
+        .groupBy(*keys)
+        .agg((F.count_if(F.col("followed") & wrong) == 0).alias("en_orden"))
+    )
+
+
+def compare_suites(
+    spark: SparkSession,
+    expected_path: str,
+    engines: Mapping[str, str],
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
+    """Differing cells and kept order per engine and query, against the expected suite.
+
+    A column is numeric if every filled cell on either side is a number; such cells may
+    differ by the tolerance. A missing row or column shows as differing cells.
+    """
+    expected = _written_rows(spark, expected_path, "")
+    actual = union_all([_written_rows(spark, path, engine) for engine, path in engines.items()])
+    everything = expected.unionByName(actual)
+
+    cells = everything.select("motor", "query_id", "posicion", F.inline("celdas"))
+    number = F.col("texto").try_cast("double")
+    numeric = cells.groupBy("query_id", "columna").agg(
+        ((F.count("texto") > 0) & (F.count("texto") == F.count(number))).alias("numerica")
+    )
+    engine_names = F.explode(F.array(*(F.lit(engine) for engine in engines)))
+    keys = ["motor", "query_id", "posicion", "columna"]
+    wanted = cells.filter("motor = ''").select(
+        engine_names.alias("motor"), *keys[1:], F.col("texto").alias("esperado"), F.lit(1).alias("a")
+    )
+    got = cells.filter("motor <> ''").select(
+        *keys, F.col("texto").alias("actual"), F.lit(1).alias("b")
+    )
+    left, right = F.col("esperado"), F.col("actual")
+    same = F.when(
+        F.col("numerica"),
+        close(left.try_cast("double"), right.try_cast("double"), tolerance),
+    ).otherwise(left.eqNullSafe(right))
+    differences = (
+        wanted.join(got, keys, "full_outer")
+        .join(numeric, ["query_id", "columna"])
+        .groupBy("motor", "query_id")
+        .agg(F.count_if(F.col("a").isNull() | F.col("b").isNull() | ~same).alias("diferencias"))
+    )
+
+    kept = _order_kept(everything)
+    reference_kept = kept.filter("motor = ''").select(
+        "query_id", F.col("en_orden").alias("referencia_en_orden")
+    )
+    return (
+        differences.join(kept, ["motor", "query_id"], "left")
+        .join(reference_kept, "query_id", "left")
+        .select(
+            "motor",
+            "query_id",
+            "diferencias",
+            F.coalesce(F.col("en_orden") & F.col("referencia_en_orden"), F.lit(True)).alias(
+                "en_orden"
+            ),
+        )
+    )
 
 
-def summarize_suites(spark, expected_path: str, engines: dict[str, str]) -> DataFrame:
+def summarize_suites(
+    spark: SparkSession, expected_path: str, engines: Mapping[str, str]
+) -> DataFrame:
     """Equal queries per engine."""
     return suite_summary(compare_suites(spark, expected_path, engines))
-
-
-__all__ = [
-    "compare_suites",
-    "file_ordinal",
-    "result_order",
-    "small_ordinal",
-    "suite_results",
-    "summarize_suites",
-    "write_suite",
-]

@@ -162,14 +162,15 @@ def repeated_pairs(clean: DataFrame, spec: CatalogSpec) -> DataFrame:
 
     All dimensions are exploded together and grouped once.
     """
-    elements = [
-        F.transform(
-            F.coalesce(listed_values(F.col(name)), F.array().cast("array<string>")),
-            lambda value, name=name: F.struct(F.lit(name).alias("dimension"), value.alias("valor")),
-        )
+    texts = [
+        F.struct(F.lit(name).alias("dimension"), F.col(name).alias("valores"))
         for name in spec.dimensions
     ]
-    pairs = clean.select(spec.key, F.inline(F.concat(*elements)))
+    pairs = (
+        clean.select(spec.key, F.inline(F.array(*texts)))
+        .filter(F.col("valores").isNotNull())
+        .select(spec.key, "dimension", F.explode(listed_values(F.col("valores"))).alias("valor"))
+    )
     counts = pairs.groupBy(spec.key, "dimension", "valor").agg(F.count(F.lit(1)).alias("veces"))
     return counts.agg(
         *(
