@@ -37,7 +37,9 @@ def rows_of(columns, rows):
 def compare(spark, con, name, build, sql, sf_dir) -> str | None:
     """What differs between a query and its SQL, None when they agree."""
     df = build(spark, sf_dir)
+    start = time.time()
     ours = rows_of(df.columns, [tuple(row) for row in df.collect()])
+    print(f"    collected after {time.time() - start:.2f}s", end=" ")
     cursor = con.execute(sql)
     columns = [item[0] for item in cursor.description]
     kinds = {item[0]: str(item[1]) for item in cursor.description}

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the only accepted date format, year-month-day.
-ISO_DATE = r"\A([0-9]{4}-[0-9]{2}-[0-9]{2})\z"
-
 
 def lenient_date(column: Column) -> Column:
     """``yyyy-MM-dd`` text to a date; NULL for another format or an impossible day.
 
-    The pattern keeps the shorter forms out that a plain cast would take, and the cast
-    avoids a parser exception for every bad value.
+    A cast also takes shorter forms and a time after the day, so the length, the two
+    hyphens and the last digit are checked. A pattern or a date parser would cost
+    several times as much per row, most of all on bad values.
     """
-    return F.regexp_extract(column, ISO_DATE, 1).try_cast("date")
+    shaped = (
+        (F.octet_length(column) == 10)
+        & (F.substring(column, 5, 1) == "-")
+        & (F.substring(column, 8, 1) == "-")
+        & F.substring(column, 10, 1).between("0", "9")
+    )
+    return F.when(shaped, column.try_cast("date"))
 
 
 def year_disagrees(date: Column, year: Column) -> Column:

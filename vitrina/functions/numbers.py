@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 INFINITY = float("inf")
 
 # Fixed value: what marks a number as a Java literal.
-JAVA_LITERAL = r"(?<=[0-9.])[dDfF]\s*$|[xX]"
+JAVA_LITERAL = r"(?<=[0-9.])[dDfF]$|[xX]"
 
 
 def lenient_double(column: Column) -> Column:
@@ -22,7 +22,14 @@ def parsed_double(column: Column) -> Column:
     Spark also reads literals with a Java suffix or in hexadecimal (``1d``, ``0x1p3``).
     Those are no numbers in a catalog file and are spoiled before the cast.
     """
-    return F.regexp_replace(column.cast("string"), JAVA_LITERAL, "?").try_cast("double")
+    text = column.cast("string")
+    suspect = (
+        F.right(text, F.lit(1)).isin("d", "D", "f", "F")
+        | F.contains(text, F.lit("x"))
+        | F.contains(text, F.lit("X"))
+    )
+    spoiled = F.regexp_replace(text, JAVA_LITERAL, "?")
+    return F.when(suspect, spoiled.try_cast("double")).otherwise(text.try_cast("double"))
 
 
 def lenient_long(column: Column) -> Column:

@@ -15,29 +15,37 @@ WHITESPACE = (
 )
 
 
+_LONGEST_TOKEN = max(len(token) for token in MISSING_TOKENS)
+
+
 def stripped(column: Column) -> Column:
-    """The value as text without whitespace at either end (``trim`` drops spaces only)."""
-    return F.btrim(column.cast("string"), F.lit(WHITESPACE))
+    """The value as text without whitespace at either end (``trim`` drops spaces only).
+
+    Stripping a set of characters is slow, so it is left to the texts that begin or end
+    with one of them; most do not.
+    """
+    text = column.cast("string")
+    padded = F.left(text, F.lit(1)).isin(*WHITESPACE) | F.right(text, F.lit(1)).isin(*WHITESPACE)
+    return F.when(padded, F.btrim(text, F.lit(WHITESPACE))).otherwise(text)
+
 
+def without_tokens(text: Column) -> Column:
+    """Stripped text, with missing tokens turned into NULL.
 
-def is_token(text: Column) -> Column:
-    """True when stripped text is a missing token; NULL for NULL."""
-    return F.lower(text).isin(*MISSING_TOKENS)
+    Only a short text can be a token; longer ones need no lower case.
+    """
+    longer = F.octet_length(text) > _LONGEST_TOKEN
+    return F.when(longer | ~F.lower(text).isin(*MISSING_TOKENS), text)
 
 
 def is_missing(column: Column) -> Column:
     """True for NULL and for the missing tokens; never NULL."""
-    return F.coalesce(is_token(stripped(column)), F.lit(True))
+    return normalized(column).isNull()
 
 
 def has_text(column: Column) -> Column:
     """True when the column holds real text."""
-    return ~is_missing(column)
-
-
-def without_tokens(text: Column) -> Column:
-    """Stripped text, with missing tokens turned into NULL."""
-    return F.when(~is_token(text), text)
+    return normalized(column).isNotNull()
 
 
 def normalized(column: Column) -> Column:

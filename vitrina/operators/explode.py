@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.functions.dimensions import dimension_values
+from vitrina.functions.dimensions import dimension_values, stored_values
 from vitrina.spec import CatalogSpec
 
 
@@ -20,7 +20,8 @@ def explode_dimension(
 ) -> DataFrame:
     """Distinct pairs of key and value of a pipe-delimited column, with further columns.
 
-    Repeats inside a row are dropped inside its array. If keys repeat over rows, pairs
+    Repeats inside a row are dropped inside its array, unless the dimensions are known to
+    be normalised. If keys repeat over rows, pairs
     are made distinct by a grouping that combines before the shuffle, so a hot key
     sends one row per task and value; of several values of an extra column the largest
     is kept. ``with_key=False`` leaves the key out, and out of the scan, where it is
@@ -30,7 +31,8 @@ def explode_dimension(
     reaches the Parquet scan.
     """
     filled = df.filter(F.col(column).isNotNull())
-    values = F.explode(dimension_values(F.col(column))).alias(column)
+    elements = stored_values if spec.normalized else dimension_values
+    values = F.explode(elements(F.col(column))).alias(column)
     if spec.unique_key:
         kept = [spec.key] if with_key else []
         return filled.select(*kept, *extras, values)

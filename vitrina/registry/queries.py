@@ -45,7 +45,7 @@ from vitrina.operators.rows import (
 )
 from vitrina.operators.timings import last_total, timing_rollup
 from vitrina.operators.words import word_length_histogram, word_length_stats
-from vitrina.plans import contract, inspection, profiling, suite, validation
+from vitrina.plans import cleaning, contract, inspection, profiling, suite, validation
 from vitrina.registry.catalogs import (
     LINE_SPEC,
     ORDER_SPEC,
@@ -55,7 +55,7 @@ from vitrina.registry.catalogs import (
     orders_raw,
     table,
 )
-from vitrina.session import fresh_path, materialize
+from vitrina.session import fresh_path
 from vitrina.sources.readers import first_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,12 +79,12 @@ def query(function: Query) -> Query:
 
 @query
 def clean_catalog(spark, sf_dir):
-    return orders_clean(spark, sf_dir)
+    return cleaning.clean_catalog(orders_raw(spark, sf_dir), ORDER_SPEC)
 
 
 @query
 def clean_line_catalog(spark, sf_dir):
-    return lines_clean(spark, sf_dir)
+    return cleaning.clean_catalog(lines_raw(spark, sf_dir), LINE_SPEC)
 
 
 @query
@@ -250,7 +250,7 @@ def suite_results(spark, sf_dir):
 def suite_summary(spark, sf_dir):
     # Written results of three runs: the promise of unique keys is used, not used, and
     # used on a catalog whose ratings are one too high where they are low.
-    clean = materialize(orders_clean(spark, sf_dir), "catalog")
+    clean = orders_clean(spark, sf_dir)
     shifted = clean.withColumn(
         "rating", F.when(F.col("rating") < 2, F.col("rating") + 1).otherwise(F.col("rating"))
     )

@@ -13,6 +13,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A projection over many columns makes a generated method that the JVM leaves
+    # uncompiled above this size; past it Spark generates smaller methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_folder: str | None = None

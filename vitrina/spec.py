@@ -106,11 +106,14 @@ class CatalogSpec:
     ``unique_key`` promises that every row has its own non-NULL key. With that promise
     an item counts once per dimension value without comparing rows, so the grouped
     queries need no shuffle of the exploded table. Without it (the default) pairs of
-    key and value are made distinct first. ``plans.validation`` checks the promise.
+    key and value are made distinct first. ``normalized`` promises that dimensions are
+    as ``plans.cleaning`` leaves them, so that they need no stripping when they are
+    split. ``plans.validation`` checks both promises.
     """
 
     key: str = "id"
     unique_key: bool = False
+    normalized: bool = False
     literal_columns: tuple[str, ...] = LITERAL_COLUMNS
     integer_columns: tuple[str, ...] = INTEGER_COLUMNS
     float_columns: tuple[str, ...] = FLOAT_COLUMNS
