@@ -10,9 +10,12 @@ CUTS = 256
 
 
 def planned_bytes(df: DataFrame) -> int | None:
-    """Size of the table as estimated by the optimizer, None when it is not known."""
+    """Upper bound of the size of a table by its plan, None when it is not known.
+
+    The analyzed plan is enough: it counts whole files, before columns are pruned.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
     except AttributeError:
         return None
 
@@ -22,36 +25,36 @@ def grouped_summary(
 ) -> DataFrame:
     """``n``, ``mean``, ``median``, ``low`` and ``high`` of a number per group, NULLs left out.
 
-    The rows are first counted per group and value, which combines before the shuffle
-    and spreads a hot group over all tasks. If the table is proven small, the counts of
-    a group fit into one task and the median is a weighted percentile. Otherwise the
-    middle is searched for by ``split_median`` and no task sees a whole group.
+    A median needs the distinct values of its group. If the whole table is proven small
+    they fit into one task, and one grouping does all. Otherwise the rows are first
+    counted per group and value, which combines before the shuffle and spreads a hot
+    group over all tasks, and ``split_median`` searches for the middle, so that no task
+    sees a whole group.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(group).alias("grp"), F.col(value).alias("val"))
-        .agg(F.count(F.lit(1)).alias("freq"))
-    )
-    totals = (
-        F.sum("freq").alias("n"),
-        (F.sum(F.col("val").cast("double") * F.col("freq")) / F.sum("freq")).alias("mean"),
-        F.min("val").alias("low"),
-        F.max("val").alias("high"),
+    filled = df.filter(F.col(value).isNotNull()).select(
+        F.col(group).alias("grp"), F.col(value).alias("val")
     )
     size = planned_bytes(df)
     if size is not None and size <= limit_bytes:
-        summary = counts.groupBy("grp").agg(*totals, weighted_median("val", "freq"))
+        summary = filled.groupBy("grp").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg("val").alias("mean"),
+            F.median("val").alias("median"),
+            F.min("val").alias("low"),
+            F.max("val").alias("high"),
+        )
     else:
-        medians = split_median(counts)
-        summary = counts.groupBy("grp").agg(*totals).join(medians, "grp")
+        counts = filled.groupBy("grp", "val").agg(F.count(F.lit(1)).alias("freq"))
+        totals = counts.groupBy("grp").agg(
+            F.sum("freq").alias("n"),
+            (F.sum(F.col("val").cast("double") * F.col("freq")) / F.sum("freq")).alias("mean"),
+            F.min("val").alias("low"),
+            F.max("val").alias("high"),
+        )
+        summary = totals.join(split_median(counts), "grp")
     return summary.select(F.col("grp").alias(group), "n", "mean", "median", "low", "high")
 
 
-def weighted_median(value: str, frequency: str) -> Column:
-    """Interpolated median of a value that occurs ``frequency`` times."""
-    return F.percentile(F.col(value), 0.5, F.col(frequency)).alias("median")
-
-
 def split_median(counts: DataFrame, cuts: int = CUTS) -> DataFrame:
     """Median per ``grp`` of ``val`` occurring ``freq`` times, without gathering a group.
 
