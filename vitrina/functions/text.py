@@ -21,11 +21,13 @@ _LONGEST_TOKEN = max(len(token) for token in MISSING_TOKENS)
 def stripped(column: Column) -> Column:
     """The value as text without whitespace at either end (``trim`` drops spaces only).
 
-    Stripping a set of characters is slow, so it is left to the texts that begin or end
-    with one of them; most do not.
+    Stripping a set of characters is slow, so it is left to the texts whose first or
+    last character is no printable ASCII character; they include all that begin or end
+    with whitespace.
     """
     text = column.cast("string")
-    padded = F.left(text, F.lit(1)).isin(*WHITESPACE) | F.right(text, F.lit(1)).isin(*WHITESPACE)
+    last = F.substring(text, -1, 1)
+    padded = (text < "!") | (text > "~") | (last < "!") | (last > "~")
     return F.when(padded, F.btrim(text, F.lit(WHITESPACE))).otherwise(text)
 
 

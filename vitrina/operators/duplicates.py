@@ -28,16 +28,32 @@ def duplicate_summary(df: DataFrame, keys: Sequence[str], ignore_null: bool = Fa
     )
 
 
+def _collisions(df: DataFrame, key: str, members: Sequence[str]) -> DataFrame:
+    """Distinct members of repeated keys with the sizes of their group.
+
+    Members are counted before they are joined to the sizes, so a hot key is split over
+    its members, and the join can split it further.
+    """
+    counted = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key, *members)
+        .agg(F.count(F.lit(1)).alias("veces"))
+    )
+    sizes = (
+        counted.groupBy(key)
+        .agg(F.sum("veces").alias("cantidad"), F.count(F.lit(1)).alias("distintos"))
+        .filter("cantidad > 1")
+    )
+    return counted.join(sizes, key)
+
+
 def collision_members(df: DataFrame, key: str, members: Sequence[str]) -> DataFrame:
     """One row per distinct member of every repeated non-NULL key.
 
     ``cantidad`` is the number of rows with the key, ``veces`` how often the member
-    occurs among them. Members are counted before they are joined to the group sizes,
-    so a hot key is split over its members and no group is gathered.
+    occurs among them. No group is gathered.
     """
-    filled = df.filter(F.col(key).isNotNull()).select(key, *members)
-    counted = filled.groupBy(key, *members).agg(F.count(F.lit(1)).alias("veces"))
-    return counted.join(key_counts(filled, [key]), key)
+    return _collisions(df, key, members).drop("distintos")
 
 
 def collision_groups(
@@ -49,11 +65,9 @@ def collision_groups(
     into several rows (``parte``), which together hold every member, so that no list
     grows with the data.
     """
-    members = collision_members(df, key, [member, label])
-    sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("distintos"))
     parts = F.ceil(F.col("distintos") / per_part)
     return (
-        members.join(sizes, key)
+        _collisions(df, key, [member, label])
         .withColumn("parte", F.pmod(F.xxhash64(member, label), parts).cast("int"))
         .groupBy(key, "cantidad", "parte")
         .agg(F.sort_array(F.collect_list(F.struct(member, label, "veces"))).alias("miembros"))

@@ -14,14 +14,18 @@ from pyspark.sql import functions as F
 
 from vitrina.operators.compare import same_rows
 
+LARGEST_KEY = 2**63 - 1
+
 
 def next_id(df: DataFrame, key: str = "id") -> DataFrame:
     """One row with the first free key: one above the largest, at least 1.
 
-    A key beyond the range of a whole number fails instead of wrapping around.
+    Fails when the largest key is the largest whole number.
     """
-    highest = F.greatest(F.coalesce(F.max(key), F.lit(0)), F.lit(0)).cast("decimal(20,0)")
-    return df.agg((highest + 1).cast("bigint").alias("next_id"))
+    highest = F.greatest(F.coalesce(F.max(key), F.lit(0)), F.lit(0)).cast("bigint")
+    full = F.raise_error(F.lit("no key is left above the largest one")).cast("bigint")
+    free = F.when(highest < LARGEST_KEY, highest + 1).otherwise(full)
+    return df.agg(free.alias("next_id"))
 
 
 def create(df: DataFrame, rows: DataFrame) -> DataFrame:

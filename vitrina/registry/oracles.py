@@ -719,6 +719,12 @@ def oracles() -> dict[str, str]:
         "SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS tiempo_segundos "
         "FROM events"
     )
+    sql["event_engine_times"] = (
+        "SELECT CAST(event_id AS VARCHAR) AS motor, event_type AS entorno, "
+        "CASE WHEN event_type <> 'error' OR user_id < 100 THEN value END AS tiempo_segundos, "
+        "CASE WHEN event_type <> 'error' THEN 'registro' WHEN user_id < 100 THEN 'reporte' END "
+        "AS fuente FROM events"
+    )
     sql["long_ratings"] = orders(
         union(
             f"SELECT '{name}' AS columna, count({name}) AS validos, "

@@ -43,7 +43,7 @@ from vitrina.operators.rows import (
     update,
     update_many,
 )
-from vitrina.operators.timings import last_total, timing_rollup
+from vitrina.operators.timings import engine_times, last_total, report_seconds, timing_rollup
 from vitrina.operators.words import word_length_histogram, word_length_stats
 from vitrina.plans import cleaning, contract, inspection, profiling, suite, validation
 from vitrina.registry.catalogs import (
@@ -638,21 +638,35 @@ def event_timing_rollup(spark, sf_dir):
     )
 
 
+def _decimal_comma():
+    return F.replace(F.col("value").cast("string"), F.lit("."), F.lit(","))
+
+
+def _event_log():
+    """A run log per event: two totals are stated and the last one counts; errors state none."""
+    stated = F.concat(
+        F.lit("Tiempo total consultas: 1.5 segundos\nTIEMPO  TOTAL : "),
+        _decimal_comma(),
+        F.lit(" segundos"),
+    )
+    failed = F.concat(F.lit("Tiempo: "), _decimal_comma())
+    return F.when(F.col("event_type") == "error", failed).otherwise(stated)
+
+
 @query
 def event_log_totals(spark, sf_dir):
-    # One run log per event: two totals are stated, and the last one counts.
     events = table(spark, sf_dir, "events")
-    value = F.col("value").cast("string")
-    log = F.when(
-        F.col("event_type") == "error", F.concat(F.lit("Tiempo: "), value)
-    ).otherwise(
-        F.concat(
-            F.lit("Tiempo total consultas: 1.5 segundos\nTIEMPO  TOTAL : "),
-            F.replace(value, F.lit("."), F.lit(",")),
-            F.lit(" segundos"),
-        )
-    )
-    return events.select("event_id", last_total(log).alias("tiempo_segundos"))
+    return events.select("event_id", last_total(_event_log()).alias("tiempo_segundos"))
+
+
+@query
+def event_engine_times(spark, sf_dir):
+    # Each event is an engine with a log; only some users also left a report.
+    events = table(spark, sf_dir, "events").withColumn("motor", F.col("event_id").cast("string"))
+    engines = events.select("motor", F.col("event_type").alias("entorno"))
+    logs = events.select("motor", _event_log().alias("registro"))
+    report = events.filter("user_id < 100").select("motor", _decimal_comma().alias("seconds"))
+    return engine_times(engines, logs, report_seconds(report))
 
 
 @query

@@ -13,6 +13,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Plans are built from many small expressions; recording the call site of each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A projection over many columns makes a generated method that the JVM leaves
     # uncompiled above this size; past it Spark generates smaller methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
