@@ -6,7 +6,7 @@ from vitrina.operators.compare import same_rows
 from vitrina.plans import suite, validation
 from vitrina.plans.cleaning import clean_catalog
 from vitrina.registry.catalogs import LINE_SPEC, ORDER_SPEC, orders_clean, orders_raw
-from vitrina.sources import readers, writers
+from vitrina.sources import csv_records, readers, writers
 
 SF = "/root/testdata/sf0.001"
 
@@ -114,3 +114,27 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     stored = session.materialize(spark.range(3), "probe")
     assert stored.inputFiles()[0].removeprefix("file://").startswith(session.shared_folder(spark))
     assert stored.count() == 3
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_split_csv_equals_the_multiline_reader(spark, tmp_path, line_end):
+    rows = ["id,name,description"]
+    for i in range(400):
+        long = line_end.join(f'part {k} of {i}, ""quoted""' for k in range(i % 7))
+        rows.append(f'{i},"NULL","{long}"' if i % 3 else f"{i},plain {i},")
+        if i % 50 == 0:
+            rows.append("")
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / name).write_bytes(line_end.join(rows).encode())
+    expected = readers.read_csv(spark, str(tmp_path))
+    assert expected.count() == 800
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = csv_records.read_csv_split(spark, str(tmp_path))
+        assert got.rdd.getNumPartitions() > 1
+        got = session.materialize(got, "csv")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert same_rows(got, session.materialize(expected, "csv"))

@@ -16,14 +16,17 @@ from vitrina.plans import inspection, profiling, validation
 from vitrina.plans.cleaning import clean_catalog
 from vitrina.plans.suite import compare_suites, summarize_suites, write_suite
 from vitrina.session import build_session
+from vitrina.sources.csv_records import read_csv_split
 from vitrina.sources.readers import first_rows, read_csv, read_parquet, read_result
 from vitrina.sources.writers import write_catalog, write_report
 from vitrina.spec import LITERAL_COLUMNS, CatalogSpec
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
+def load(spark: SparkSession, path: str, split: bool = False) -> DataFrame:
     """A raw CSV or a Parquet catalog, by the ending of its name."""
-    return read_csv(spark, path) if path.endswith((".csv", ".csv.gz")) else read_parquet(spark, path)
+    if not path.endswith((".csv", ".csv.gz")):
+        return read_parquet(spark, path)
+    return read_csv_split(spark, path) if split else read_csv(spark, path)
 
 
 def show(df: DataFrame, rows: int = 100) -> None:
@@ -31,18 +34,18 @@ def show(df: DataFrame, rows: int = 100) -> None:
 
 
 def run_clean(spark, args, spec):
-    write_catalog(clean_catalog(load(spark, args.input), spec), args.output)
+    write_catalog(clean_catalog(load(spark, args.input, args.split_csv), spec), args.output)
 
 
 def run_inspect(spark, args, spec):
-    df = load(spark, args.input)
+    df = load(spark, args.input, args.split_csv)
     show(inspection.inspect_table(df))
     show(null_profile(df))
     show(first_rows(df, spec.key, 5))
 
 
 def run_profile(spark, args, spec):
-    raw = load(spark, args.input)
+    raw = load(spark, args.input, args.split_csv)
     show(profiling.duplicate_profile(raw, [spec.key, "slug"]))
     show(profiling.missing_profile(raw))
     show(profiling.numeric_validity(raw, spec))
@@ -50,7 +53,7 @@ def run_profile(spark, args, spec):
 
 
 def run_values(spark, args, spec):
-    raw = load(spark, args.input)
+    raw = load(spark, args.input, args.split_csv)
     show(inspection.sample_values(raw))
     show(inspection.numeric_describe(raw, spec))
     show(inspection.date_range(raw, spec))
@@ -81,7 +84,7 @@ def run_collisions(spark, args, spec):
     show(clean.filter(F.col("slug").isNull()).select(spec.key, *LITERAL_COLUMNS))
     show(inspection.slug_collisions(clean, spec))
     if args.raw:
-        show(inspection.rows_without_slug(clean, load(spark, args.raw), spec))
+        show(inspection.rows_without_slug(clean, load(spark, args.raw, args.split_csv), spec))
 
 
 def run_queries(spark, args, spec):
@@ -161,6 +164,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--input", help="catalog, text or expected suite to read")
     parser.add_argument("--output", help="where results are written")
     parser.add_argument("--raw", help="raw catalog beside a clean one (collisions)")
+    parser.add_argument(
+        "--split-csv", action="store_true", help="read each CSV file in parallel"
+    )
     parser.add_argument("--rows", type=int, default=1000, help="rows of the copy (changes)")
     parser.add_argument("--engines", nargs="*", default=[], metavar="NAME=PATH")
     parser.add_argument(

@@ -12,9 +12,9 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFram
 
     No schema is inferred: the rules in ``plans.cleaning`` decide the types, so the
     result does not depend on a sample. Quoted fields may hold delimiters, doubled
-    quotes and line ends. A file read with ``multiline`` is one task, so a large export
-    should come as many files; without line ends inside fields, ``multiline=False``
-    splits files as well.
+    quotes and line ends. A file read with ``multiline`` is one task;
+    ``csv_records.read_csv_split`` reads one huge file in parallel, and without line ends
+    inside fields ``multiline=False`` does.
     """
     return (
         spark.read.option("header", True)
