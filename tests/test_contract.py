@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from vitrina.operators.explode import explode_dimension
 from vitrina.plans import contract
 from vitrina.plans.cleaning import clean_catalog
+from vitrina.session import materialize
 from vitrina.spec import CatalogSpec
 
 GENERAL = CatalogSpec(rating_support=1, metacritic_support=1, playtime_support=1)
@@ -25,8 +26,8 @@ RAW = [
 ]
 
 
-def clean(spark, spec=UNIQUE):
-    return clean_catalog(spark.createDataFrame(RAW, RAW_SCHEMA), spec).cache()
+def clean(spark):
+    return materialize(clean_catalog(spark.createDataFrame(RAW, RAW_SCHEMA), UNIQUE), "clean")
 
 
 def test_cleaning(spark):
