@@ -13,7 +13,10 @@ from vitrina.functions.text import stripped
 from vitrina.operators.ordinals import distributed_ordinal
 from vitrina.spec import TOLERANCE
 
-ISSUE_SCHEMA = "problema string, columna string, posicion bigint, esperado string, actual string, filas bigint"
+ISSUE_SCHEMA = (
+    "problema string, columna string, posicion bigint, "
+    "esperado string, actual string, filas bigint"
+)
 
 # How far a number may be from a whole one, and the places kept otherwise.
 WHOLE_TOLERANCE = 1e-9

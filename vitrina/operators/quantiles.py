@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HISTOGRAM_BYTES = 64 << 20
-CUTS = 256
+CUTS = 64
 
 
 def planned_bytes(df: DataFrame) -> int | None:
@@ -68,13 +70,30 @@ def split_median(counts: DataFrame, cuts: int = CUTS) -> DataFrame:
     below it come from the same evaluation, and the ranks inside are exact.
     """
     fractions = [step / cuts for step in range(1, cuts)]
-    sketches = counts.groupBy("grp").agg(
-        F.sum("freq").alias("n"),
-        F.percentile_approx("val", fractions, 8 * cuts).alias("cuts"),
+    stride = math.isqrt(cuts)
+    coarse = F.transform(
+        F.sequence(F.lit(stride), F.lit(cuts - 1), F.lit(stride)),
+        lambda index: F.element_at("cuts", index),
     )
+    sketches = (
+        counts.groupBy("grp")
+        .agg(
+            F.sum("freq").alias("n"),
+            F.percentile_approx("val", fractions, 8 * cuts).alias("cuts"),
+        )
+        .withColumn("coarse", coarse)
+    )
+
+    def cuts_below(array: Column | str) -> Column:
+        return F.size(F.filter(array, lambda cut: cut < F.col("val")))
+
+    # The range of a value is the number of cuts below it: first every stride-th cut is
+    # looked at, then those between two of them.
+    fine = F.slice("cuts", F.col("skipped") + 1, F.lit(stride - 1))
     ranges = (
         counts.join(sketches, "grp")
-        .withColumn("part", F.size(F.filter("cuts", lambda cut: cut < F.col("val"))))
+        .withColumn("skipped", cuts_below("coarse") * stride)
+        .withColumn("part", F.col("skipped") + cuts_below(fine))
         .groupBy("grp", "part")
         .agg(
             F.first("n").alias("n"),

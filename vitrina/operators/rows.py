@@ -111,7 +111,10 @@ def snapshot(df: DataFrame, base: str, version: int, stage: str) -> DataFrame:
 
 def stage_summary(stored: DataFrame, stage: str, value: Any, key: str = "id") -> DataFrame:
     """Rows of a snapshot and how many have the key."""
-    return stored.agg(F.count(F.lit(1)).alias("filas"), F.count_if(_hit(key, value)).alias("coincidencias")).select(
+    return stored.agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.count_if(_hit(key, value)).alias("coincidencias"),
+    ).select(
         F.lit(stage).alias("etapa"),
         "filas",
         F.lit(value).cast("bigint").alias("id_prueba"),
