@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def local_session():
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="vitrina-tests-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -2,9 +2,11 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.check_registry import compare, connect
+from vitrina.registry.oracles import oracles
+from vitrina.registry.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = REGISTRY, oracles()
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +16,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +19,6 @@ SESSION_DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-_local_folder: str | None = None
-
-
 def build_session(app_name: str, **overrides: str) -> SparkSession:
     """A session with the defaults above.
 
@@ -36,16 +32,14 @@ def build_session(app_name: str, **overrides: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only in local mode."""
-    global _local_folder
+    """The folder named by ``spark.checkpoint.dir``, else one in the warehouse.
+
+    Both are places that a cluster shares; no folder of a single machine is ever chosen here.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="vitrina-")
-    return _local_folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/vitrina-intermediate"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -53,12 +47,19 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have the file system drop ``path`` when the session's JVM ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Used where two branches of a plan must see the same evaluation; the written table
-    survives the loss of executors.
+    survives the loss of executors. It is deleted when the session ends.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
+    delete_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
