@@ -148,7 +148,7 @@ def measure(texts: DataFrame) -> DataFrame:
     )
     measures = {
         "n_words": F.size("words"),
-        "word_chars": _count_without(SPACE),
+        "word_chars": F.length(F.regexp_replace("text", SPACE, "")),
         "n_symbols": _count_without("[#*$%&|<>]+"),
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
         "n_repeat_words": F.coalesce(covered, F.lit(0)),
