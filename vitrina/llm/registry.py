@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from vitrina.llm.byte_bpe import op7_byte_bpe
+from vitrina.llm.packing import op10_packing
 from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
 
 LLM_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op10_packing": op10_packing,
 }
 
 LLM_SQL = {
