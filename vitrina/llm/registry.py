@@ -6,12 +6,16 @@ from vitrina.llm.byte_bpe import op7_byte_bpe
 from vitrina.llm.license_scan import op2_license_scan
 from vitrina.llm.packing import op10_packing
 from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
+from vitrina.llm.shingle_join import op8_shingle_join
+from vitrina.llm.suffix_dedup import op6_suffix_dedup
 from vitrina.llm.url_cascade import OP9_SQL, op9_url_cascade
 
 LLM_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_shingle_join": op8_shingle_join,
     "op9_url_cascade": op9_url_cascade,
     "op10_packing": op10_packing,
 }
