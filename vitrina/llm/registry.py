@@ -6,14 +6,18 @@ from vitrina.llm.byte_bpe import op7_byte_bpe
 from vitrina.llm.graph_search import op5_graph_search
 from vitrina.llm.license_scan import op2_license_scan
 from vitrina.llm.packing import op10_packing
+from vitrina.llm.pii import op3_pii
 from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
 from vitrina.llm.shingle_join import op8_shingle_join
 from vitrina.llm.suffix_dedup import op6_suffix_dedup
+from vitrina.llm.toxicity import op4_toxicity
 from vitrina.llm.url_cascade import OP9_SQL, op9_url_cascade
 
 LLM_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
+    "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op5_graph_search": op5_graph_search,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_byte_bpe": op7_byte_bpe,
