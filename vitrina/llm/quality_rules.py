@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.llm.tables import id_and_text, row_and_text, table
+from vitrina.llm.tables import id_and_text, table
 
 #: Words in a window whose repetition counts.
 WINDOW = 8
@@ -217,9 +217,20 @@ def ablations(
 
 def accepted(docs: DataFrame, policy: str = CURRENT, text: str = "text") -> DataFrame:
     """The documents that a policy keeps, with their columns."""
-    measured = measure(row_and_text(docs, text))
-    judged = measured.select("row", failure_mask().alias("failed"))
-    return judged.filter(~fails(policy)).select("row.*")
+    # Numbered names cannot clash with those of the measurements.
+    own = [F.col(f"`{name}`").alias(f"own_{place}") for place, name in enumerate(docs.columns)]
+    texts = docs.select(*own, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    judged = measure(texts).select(
+        *(f"own_{place}" for place in range(len(docs.columns))),
+        failure_mask().alias("failed"),
+        # A condition on it keeps the optimizer from moving the filter below this projection,
+        # where every use of a measurement would evaluate it anew.
+        F.monotonically_increasing_id().alias("number"),
+    )
+    kept = judged.filter(~fails(policy) & (F.col("number") >= 0))
+    return kept.select(
+        *(F.col(f"own_{place}").alias(name) for place, name in enumerate(docs.columns))
+    )
 
 
 def op1_quality_rules(spark, sf_dir) -> DataFrame:
