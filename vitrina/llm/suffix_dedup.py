@@ -40,9 +40,10 @@ from vitrina.session import materialize
 
 SPAN = 200
 GRAM = 40
-#: Bytes of the buckets that are sorted at a time, and suffix groups of a bucket from which it is split.
+#: Bytes of the buckets that are sorted at a time. A bucket of up to ``HOT`` suffix groups, of at
+#: most 360 bytes each, is a block of its own in the worst case; a larger one is split.
 BLOCK_BYTES = 1 << 20
-HOT = 2000
+HOT = 1 << 15
 #: Windows in a run of a split bucket.
 RUN = 16
 #: Bits of the filter over digests; a fuller filter only lets more texts through.
@@ -258,14 +259,16 @@ def repeated_windows(groups: list[tuple[int, int, bytes]]) -> list[np.ndarray]:
     ranks = cover_ranks(data, words)
 
     counts = np.array([len(context) - SPAN + 1 for _, _, context in groups])
-    group = np.repeat(np.arange(len(groups)), counts)
-    inside = np.arange(len(group)) - np.repeat(np.cumsum(counts) - counts, counts)
-    place = np.array(starts)[group] + inside
+    group = np.repeat(np.arange(len(groups), dtype=np.int32), counts)
+    inside = np.arange(len(group), dtype=np.int32)
+    inside -= np.repeat((np.cumsum(counts) - counts).astype(np.int32), counts)
+    place = np.array(starts, dtype=np.int32)[group] + inside
     buckets = {value: number for number, value in enumerate({value for value, _, _ in groups})}
     bucket = np.array([buckets[value] for value, _, _ in groups])[group]
     distance = np.array([offset for _, offset, _ in groups])[group] - inside
     # One suffix class per bucket and distance to the anchor.
     kind = bucket * (2 * SPAN) + distance
+    del group, inside, bucket, distance
     gap = TO_COVER[place % PERIOD]
     keys = [ranks[place + gap]]
     for step in range(0, int(TO_COVER.max()), 8):
