@@ -1,11 +1,14 @@
 """Jaccard join of n-gram sets by vertical partitioning, and its connected groups.
 
-Every document is the set of its distinct shingles. The sets follow one global order: rarer
-kinds first, by counts over the whole corpus in a table of fixed size, then by hash.
-
-1. Documents with equal sets are one node. Whoever shares enough of a set shares one of its
-   first shingles (the prefix filter), so nodes meet at the shingles of their prefixes.
-2. The global order is cut into fragments. A node's set is cut at the same places, partial
+Every document is the set of its distinct shingles. All sets follow one global order: a part
+of the shingles, sampled by hash, comes first, rarer ones before, and the others follow by
+hash.
+
+1. Documents with equal sets are one node. A linked pair shares one of the first shingles of
+   both (the prefix filter). The sampled shingles are counted over all documents; a node
+   whose prefix holds only shingles of its own can have no link, and goes no further. For
+   most corpora that leaves the near copies.
+2. The hash range is cut into fragments. A node's set is cut at the same places, partial
    overlaps of a pair are counted per fragment, and their sum decides.
 3. In a group of many near copies not every pair is needed to know that it hangs together.
    First each node is compared to two nodes of each shingle it meets others at. Pairs that
@@ -14,7 +17,8 @@ kinds first, by counts over the whole corpus in a table of fixed size, then by h
    tables in the shared folder.
 
 Meetings at one shingle are dealt over ``SALTS`` tasks, and the smallest nodes of those meet
-in a second step, so a shingle of a third of all documents is no task's load alone.
+in a second step, so a shingle of a third of all documents is no task's load alone. Counts
+combine before they are shuffled.
 
 Defined cases: NULL and empty texts have an empty set and no links; with fewer than
 ``WORDS`` words the whole sequence is the only shingle; repeated rows have links like other
@@ -32,17 +36,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrina.llm.tables import id_and_text, row_and_text, table
-from vitrina.llm.url_cascade import filter_of
-from vitrina.session import materialize
+from vitrina.llm.tables import discard, id_and_text, row_and_text, table, written
+from vitrina.llm.url_cascade import Level, filter_of
 
 WORDS = 5
 PERCENT = 80
 FRAGMENTS = 8
 SALTS = 16
-#: Counters over all shingles: fixed, whatever the corpus. They only steer the order.
-COUNTERS = 1 << 20
-COUNTER_PART = 1 << 12
+#: Tenths of all shingles, by hash, that come first in the global order and are counted.
+SAMPLED = 3
 #: Bits of the filter over texts with candidates.
 FILTER_BITS = 1 << 22
 CACHED = 1 << 18
@@ -90,62 +92,18 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, [shingles(text) for text in texts]
 
 
-def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many shingles of the partition fall on each counter, in parts of the table."""
-    counts = np.zeros(COUNTERS, dtype=np.int64)
-    for _, sets in _texts(batches):
-        every = np.concatenate(sets) & np.uint64(COUNTERS - 1)
-        counts += np.bincount(every.astype(np.int64), minlength=COUNTERS)
-    parts = counts.reshape(-1, COUNTER_PART)
-    if counts.any():
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(range(len(parts)), pa.int32()),
-                pa.array(list(parts), pa.list_(pa.int64())),
-            ],
-            ["part", "counts"],
-        )
-
-
-def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the counters of each part that the task has."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-            values = counts.values.to_numpy(zero_copy_only=False)
-            sums[part] = sums[part] + values if part in sums else values.copy()
-    if sums:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array(list(sums.values()), pa.list_(pa.int64()))],
-            ["part", "counts"],
-        )
-
-
-_COUNTS = "part int, counts array<bigint>"
-
-
-def kinds_of(texts: DataFrame) -> np.ndarray:
-    """Per counter the logarithm of its count over all texts, one byte each."""
-    partial = texts.select("text").mapInArrow(_count_rows, _COUNTS)
-    # First over several tasks a part, then one row a part and task.
-    spread = partial.repartition("part", (F.rand(5) * SALTS).cast("int")).mapInArrow(_sum_rows, _COUNTS)
-    total = spread.repartition("part").mapInArrow(_sum_rows, _COUNTS)
-    kinds = np.zeros(COUNTERS, dtype=np.uint8)
-    for row in total.toLocalIterator():  # COUNTERS numbers in all
-        counts = np.array(row["counts"])
-        kinds[row["part"] * COUNTER_PART :][:COUNTER_PART] = np.log2(counts + 1).round()
-    return kinds
-
-
 def prefix_length(count: int) -> int:
     """First shingles of which a linked set of any size shares at least one."""
     return count - -(-count * PERCENT // 100) + 1
 
 
-def _ordered(tokens: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    """In the global order: rare kinds first, then by hash."""
-    kind = kinds[(tokens & np.uint64(COUNTERS - 1)).astype(np.int64)]
-    return tokens[np.lexsort((tokens, kind))]
+def _first_of(tokens: np.ndarray) -> tuple[np.ndarray, int]:
+    """The sampled shingles, filled up to a prefix with others, and how many are sampled."""
+    chosen = tokens % np.uint64(10) < SAMPLED
+    sampled, missing = tokens[chosen], prefix_length(len(tokens)) - int(chosen.sum())
+    if missing > 0:
+        return np.concatenate([sampled, tokens[~chosen][:missing]]), len(sampled)
+    return sampled, len(sampled)
 
 
 def _lists(values: list[np.ndarray]) -> pa.Array:
@@ -154,23 +112,20 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
 
 
-def _node_rows(broadcast):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = broadcast.value
-        for part, sets in _texts(batches):
-            prefixes = [_ordered(one, kinds)[: prefix_length(len(one))] if len(one) else one for one in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    part.column(1),
-                    pa.array([len(one) for one in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(one.tobytes()) for one in sets], pa.binary()),
-                    _lists(prefixes),
-                ],
-                ["id", "h", "n", "key", "prefix"],
-            )
-
-    return run
+def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, sets in _texts(batches):
+        firsts = [_first_of(one) if len(one) else (one, 0) for one in sets]
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column(0),
+                part.column(1),
+                pa.array([len(one) for one in sets], pa.int64()),
+                pa.array([xxhash.xxh3_128_digest(one.tobytes()) for one in sets], pa.binary()),
+                _lists([first for first, _ in firsts]),
+                pa.array([sampled for _, sampled in firsts], pa.int32()),
+            ],
+            ["id", "h", "n", "key", "first", "sampled"],
+        )
 
 
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,9 +232,9 @@ def components(links: DataFrame) -> DataFrame:
     labels are followed. Each round is a table; rounds grow with the logarithm of the longest
     path.
     """
-    edges = materialize(links.select("a", "b").distinct(), "links")
+    edges = written(links.select("a", "b").distinct(), "links")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = materialize(
+    labels = written(
         both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")),
         "labels",
     )
@@ -297,7 +252,7 @@ def components(links: DataFrame) -> DataFrame:
             "node", "label", F.least("low", "root_low").alias("low")
         )
         jump = told.select(F.col("node").alias("low"), F.col("low").alias("far"))
-        fresh = materialize(
+        fresh = written(
             told.join(jump, "low", "left").select(
                 "node", F.least("low", F.coalesce("far", "low")).alias("label"), F.col("label").alias("old")
             ),
@@ -308,38 +263,84 @@ def components(links: DataFrame) -> DataFrame:
         labels = fresh.select("node", "label")
 
 
+def _prefix() -> Column:
+    """``prefix_length`` of the column ``n``."""
+    return F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+
+
+def _chosen(keys: DataFrame, seed: int) -> Level:
+    """A filter of bounded size over the column ``key``; fuller ones only let more through."""
+    count = max(1, keys.count())
+    return filter_of(keys, count, min(10.0, FILTER_BITS / count), seed)
+
+
+def _meetings(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``token``, ``node`` and ``n`` for shared shingles in the prefixes of nodes."""
+    # Sampled shingles that only one row has; those of copied sets count as shared.
+    lone = (
+        rows.select("node", F.explode(F.slice("first", 1, F.col("sampled"))).alias("token"))
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("node"))
+        .filter("rows = 1")
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("lone"))
+    )
+    alive = written(
+        nodes.select("node", "n")
+        .join(lone, "node", "left")
+        .filter(F.coalesce("lone", F.lit(0)) < _prefix())
+        .select("node"),
+        "alive",
+    )
+    filled = _chosen(alive.select(F.col("node").alias("key")), 29)
+    listed = written(
+        rows.filter(filled.holds(F.col("node")))
+        .select("node", "n", "first", "sampled")
+        .join(alive, "node", "left_semi")
+        .select("node", "n", "sampled", F.posexplode("first").alias("place", "token")),
+        "first-shingles",
+    )
+    often = listed.groupBy("token").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
+    shared = listed.join(often, "token").withColumn("counted", F.col("place") < F.col("sampled"))
+    own = Window.partitionBy("node")
+    order = own.orderBy(F.desc("counted"), "nodes", "token")
+    # Sampled shingles that no other node here has stand before the shared ones.
+    before = F.col("sampled") - F.sum(F.col("counted").cast("int")).over(own)
+    ranked = shared.withColumn("rank", F.row_number().over(order)).withColumn("before", before)
+    return ranked.filter(
+        ~F.col("counted") | (F.col("rank") + F.col("before") <= _prefix())
+    ).select("token", "node", "n")
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``n_shingles`` and ``component_id`` of every document."""
-    spark = docs.sparkSession
     texts = id_and_text(docs, key, text)
-    broadcast = spark.sparkContext.broadcast(kinds_of(texts))
     id_type = texts.schema["id"].dataType.simpleString()
-    rows = materialize(
+    sets = written(
         texts.select("id", F.xxhash64("text").alias("h"), "text")
         .mapInArrow(
-            _node_rows(broadcast), f"id {id_type}, h bigint, n bigint, key binary, prefix array<bigint>"
+            _node_rows,
+            f"id {id_type}, h bigint, n bigint, key binary, first array<bigint>, sampled int",
         )
         .withColumn("node", F.monotonically_increasing_id()),
         "sets",
     )
+    rows = written(sets.select("id", "h", "n", "key", "node"), "rows")
     # One node per distinct set, numbered by one of its rows.
-    nodes = materialize(
+    nodes = written(
         rows.filter("n > 0")
         .groupBy("key")
         .agg(F.min("node").alias("node"), F.min("id").alias("smallest"), F.first("n").alias("n")),
         "nodes",
     )
     sizes = nodes.select("node", "n")
-    prefixes = rows.select("node", "n", "prefix").join(nodes.select("node"), "node", "left_semi")
-    every = prefixes.select(F.explode("prefix").alias("token"), "node", "n")
-    shared = every.groupBy("token").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
-    meetings = materialize(every.join(shared.select("token"), "token", "left_semi"), "meetings")
+    meetings = written(_meetings(sets, nodes), "meetings")
+    discard(sets)
 
     # Whole sets are made again for the nodes that meet another one, and only for those.
     meeting = nodes.join(meetings.select("node").distinct(), "node", "left_semi")
     wanted = rows.select("node", "h").join(meeting, "node", "left_semi").select(F.col("h").alias("key"))
-    count = max(1, wanted.count())
-    chosen = filter_of(wanted, count, min(10.0, FILTER_BITS / count), 23)
+    chosen = _chosen(wanted, 23)
     again = (
         texts.select("text")
         .filter(chosen.holds(F.xxhash64("text")))
@@ -349,37 +350,40 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         .mapInArrow(_token_rows, "key binary, fragment int, tokens array<bigint>")
     )
     # Several texts may have one set.
-    fragments = materialize(
+    fragments = written(
         again.join(meeting.select("key", "node"), "key")
         .groupBy("node", "fragment")
         .agg(F.first("tokens").alias("tokens")),
         "fragments",
     )
 
-    first = materialize(_first_pairs(meetings), "pairs")
-    links = materialize(_linked(first, fragments, sizes), "links")
-    labels = sizes.select("node").join(components(links), "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label")
-    )
-    more = materialize(_open_pairs(meetings, labels, first), "pairs")
-    late = materialize(_linked(more, fragments, sizes), "links")
-    if not late.isEmpty():
-        labels = sizes.select("node").join(components(links.unionByName(late)), "node", "left").select(
+    first = written(_first_pairs(meetings), "pairs")
+    links = written(_linked(first, fragments, sizes), "links")
+
+    def labelled(found: DataFrame) -> DataFrame:
+        return sizes.select("node").join(components(found), "node", "left").select(
             "node", F.coalesce("label", "node").alias("label")
         )
+
+    labels = labelled(links)
+    more = written(_open_pairs(meetings, labels, first), "pairs")
+    late = written(_linked(more, fragments, sizes), "links")
+    if not late.isEmpty():
+        labels = labelled(links.unionByName(late))
     # The smallest id of a component, over the smallest ids of its nodes.
     named = nodes.join(labels, "node")
     smallest = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
-    by_key = materialize(
+    by_key = written(
         named.join(smallest, "label").select("key", "component_id", F.col("label").alias("group")),
         "components",
     )
+    for table_ in (meetings, fragments, first, links, more, late):
+        discard(table_)
     return rows.join(by_key, "key", "left").select(
         "id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
         "group",
-        "node",
     )
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrina.session import materialize
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; Spark reads it, wherever it is stored."""
@@ -26,3 +30,24 @@ def id_and_text(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(
         F.col(key).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     )
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder; what only its plan needed is let go.
+
+    Spark deletes shuffle files of plans that the driver's JVM has collected, which it does
+    seldom by itself, so a job of many steps would keep the files of all of them.
+    """
+    out = materialize(df, label)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table made by ``written`` that no later step reads."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
