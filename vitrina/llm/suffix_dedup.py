@@ -34,9 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.llm.tables import id_and_text, table
+from vitrina.llm.tables import discard, id_and_text, table, written
 from vitrina.llm.url_cascade import Level, filter_of
-from vitrina.session import materialize
 
 SPAN = 200
 GRAM = 40
@@ -384,7 +383,7 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, Level]:
     ``texts`` has the column ``text``. Copies of a text have one row.
     """
     texts = texts.select("text").filter(F.octet_length("text") >= SPAN)
-    anchored = materialize(
+    anchored = written(
         texts.select(_digest().alias("digest"), "text").mapInArrow(
             _anchor_rows, "digest binary, n_bytes bigint, anchors array<bigint>"
         ),
@@ -402,7 +401,7 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, Level]:
         .agg(F.count(F.lit(1)).alias("times"))
     )
     often = anchors.groupBy("anchor").agg(F.sum("times").alias("times")).filter("times > 1")
-    wanted = materialize(
+    wanted = written(
         anchors.drop("times")
         .join(often.select("anchor", (F.col("times") > HOT).alias("hot")), "anchor")
         .groupBy("digest")
@@ -417,7 +416,7 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, Level]:
         .groupBy("digest")
         .agg(F.first("text").alias("text"))
     )
-    placed = materialize(
+    placed = written(
         again.join(wanted, "digest")
         .select("digest", "text", "anchors", "hot")
         .mapInArrow(_context_rows, _PLACED),
@@ -436,7 +435,7 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, Level]:
         F.array(F.lit(0)).alias("starts"),
         F.array(F.col("n_bytes").cast("int")).alias("ends"),
     )
-    spans = materialize(
+    spans = written(
         sorted_spans.unionByName(_hot_spans(runs))
         .unionByName(whole)
         .groupBy("digest")
@@ -446,6 +445,8 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, Level]:
         ),
         "spans",
     )
+    for table_ in (anchored, wanted, placed):
+        discard(table_)
     return spans, _holding(spans.select(F.xxhash64("digest").alias("key")))
 
 
