@@ -125,11 +125,11 @@ def stage_summary(stored: DataFrame, stage: str, value: Any, key: str = "id") ->
 def lookup_expected(df: DataFrame, expected: DataFrame, key: str = "id") -> DataFrame:
     """Compare a short list of expected rows with the table; a missing row fails.
 
-    The keys go into the scan as a filter, so the table is read but not shuffled.
+    The table is first reduced to the expected keys, which Spark broadcasts if they are as
+    few as they should be.
     """
     names = [name for name in expected.columns if name != key]
-    keys = [row[0] for row in expected.select(key).distinct().collect()]
-    actual = df.filter(F.col(key).isin(*keys)).select(
+    actual = df.join(expected.select(key), key, "left_semi").select(
         key, *(F.col(name).alias(f"actual_{name}") for name in names), F.lit(True).alias("found")
     )
     joined = expected.join(actual, key, "left")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the line of a run log that states the total seconds.
-TOTAL_PATTERN = r"(?i)Tiempo\s+total(?:\s+\w+)*\s*:\s*([0-9]+(?:[.,][0-9]+)?)"
+TOTAL_PATTERN = r"(?iU)Tiempo\s+total(?:\s+\w+)*\s*:\s*([0-9]+(?:[.,][0-9]+)?)"
 
 # Names of the column with the seconds in a run-time report.
 SECONDS_COLUMNS = ("tiempo_segundos", "duration_seconds", "seconds", "time_seconds")

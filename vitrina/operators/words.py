@@ -40,7 +40,8 @@ def histogram_stats(histogram: DataFrame) -> DataFrame:
         F.sum(length * freq).alias("suma_longitudes"),
         mean.alias("media"),
         F.percentile(length, 0.5, freq).alias("mediana"),
-        F.sqrt(squares / F.sum(freq) - mean * mean).alias("desviacion_estandar"),
+        # Rounding may leave a difference just below zero.
+        F.sqrt(F.greatest(squares / F.sum(freq) - mean * mean, F.lit(0.0))).alias("desviacion_estandar"),
         squares.alias("suma_cuadrados"),
     )
 

@@ -59,9 +59,11 @@ def _written_rows(spark: SparkSession, path: str, engine: str) -> DataFrame:
         result = read_result(spark, f"{path}/{name}")
         cells = [
             F.struct(
-                F.lit(column).alias("columna"), F.col(column).cast("string").alias("texto")
+                F.lit(place).alias("lugar"),
+                F.lit(column).alias("columna"),
+                F.col(f"`{column}`").cast("string").alias("texto"),
             )
-            for column in result.columns
+            for place, column in enumerate(result.columns)
         ]
 
         def key(index: int) -> list[Column]:
@@ -123,20 +125,17 @@ def compare_suites(
 ) -> DataFrame:
     """Differing cells and kept order per engine and query, against the expected suite.
 
-    A column is numeric if every filled cell on either side is a number; such cells may
-    differ by the tolerance. A missing row or column shows as differing cells.
+    A column is numeric for an engine if every filled cell of the expected suite and of that
+    engine is a number; such cells may differ by the tolerance. Columns count by name and
+    place. A missing row, or a column that is missing or elsewhere, shows as differing cells.
     """
     expected = _written_rows(spark, expected_path, "")
     actual = union_all([_written_rows(spark, path, engine) for engine, path in engines.items()])
     everything = expected.unionByName(actual)
 
     cells = everything.select("motor", "query_id", "posicion", F.inline("celdas"))
-    number = F.col("texto").try_cast("double")
-    numeric = cells.groupBy("query_id", "columna").agg(
-        ((F.count("texto") > 0) & (F.count("texto") == F.count(number))).alias("numerica")
-    )
     engine_names = F.explode(F.array(*(F.lit(engine) for engine in engines)))
-    keys = ["motor", "query_id", "posicion", "columna"]
+    keys = ["motor", "query_id", "posicion", "lugar", "columna"]
     wanted = cells.filter("motor = ''").select(
         engine_names.alias("motor"), *keys[1:], F.col("texto").alias("esperado"), F.lit(1).alias("a")
     )
@@ -144,13 +143,20 @@ def compare_suites(
         *keys, F.col("texto").alias("actual"), F.lit(1).alias("b")
     )
     left, right = F.col("esperado"), F.col("actual")
+    paired = wanted.join(got, keys, "full_outer")
+    numeric = paired.groupBy("motor", "query_id", "columna").agg(
+        (
+            (F.count(left) + F.count(right) > 0)
+            & (F.count(left) == F.count(left.try_cast("double")))
+            & (F.count(right) == F.count(right.try_cast("double")))
+        ).alias("numerica")
+    )
     same = F.when(
         F.col("numerica"),
         close(left.try_cast("double"), right.try_cast("double"), tolerance),
     ).otherwise(left.eqNullSafe(right))
     differences = (
-        wanted.join(got, keys, "full_outer")
-        .join(numeric, ["query_id", "columna"])
+        paired.join(numeric, ["motor", "query_id", "columna"])
         .groupBy("motor", "query_id")
         .agg(F.count_if(F.col("a").isNull() | F.col("b").isNull() | ~same).alias("diferencias"))
     )
