@@ -32,8 +32,8 @@ def test_grouped_summary_paths_agree(spark):
         F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(-1).alias("g"),
         F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.sqrt("id")).alias("v"),
     )
-    small = quantiles.grouped_summary(df, "g", "v", 1 << 40).orderBy("g").collect()
-    large = quantiles.grouped_summary(df, "g", "v", 0).orderBy("g").collect()
+    small = quantiles.grouped_summary(df, "g", "v", True).orderBy("g").collect()
+    large = quantiles.grouped_summary(df, "g", "v", False).orderBy("g").collect()
     assert len(small) == len(large) == 8
     for a, b in zip(small, large):
         assert a.asDict() == pytest.approx(b.asDict(), rel=1e-12)

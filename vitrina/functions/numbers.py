@@ -42,6 +42,20 @@ def half_even(column: Column, places: int = 4) -> Column:
     return F.bround(column, places)
 
 
+def exact_mean(value: Column, times: Column | None = None) -> Column:
+    """Mean of a number in a group, each value counted ``times``, the same in any order of rows.
+
+    Values are summed as decimals with twelve places. Where one has no such decimal (it is
+    infinite, or has more than twelve digits before the point), the sum is one of doubles.
+    """
+    times = F.lit(1) if times is None else times
+    exact = value.cast("double").try_cast("decimal(24,12)")
+    count = F.sum(F.when(value.isNotNull(), times))
+    total = F.sum(exact * times.cast("decimal(14,0)")).cast("double")
+    plain = F.sum(value.cast("double") * times)
+    return F.when(F.count(exact) == F.count(value), total).otherwise(plain) / F.nullif(count, F.lit(0))
+
+
 def share_percent(part: Column, whole: Column) -> Column:
     """``part`` of ``whole`` in percent, 0 when there are no rows."""
     return F.coalesce(F.try_divide(part * F.lit(100.0), whole), F.lit(0.0))

@@ -7,53 +7,37 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HISTOGRAM_BYTES = 64 << 20
-CUTS = 64
-
+from vitrina.functions.numbers import exact_mean
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """Upper bound of the size of a table by its plan, None when it is not known.
-
-    The analyzed plan is enough: it counts whole files, before columns are pruned.
-    """
-    try:
-        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
-    except AttributeError:
-        return None
+CUTS = 64
 
 
 def grouped_summary(
-    df: DataFrame, group: str, value: str, limit_bytes: int = HISTOGRAM_BYTES
+    df: DataFrame, group: str, value: str, few_values: bool = True
 ) -> DataFrame:
     """``n``, ``mean``, ``median``, ``low`` and ``high`` of a number per group, NULLs left out.
 
-    A median needs the distinct values of its group. If the whole table is proven small
-    they fit into one task, and one grouping does all. Otherwise the rows are first
-    counted per group and value, which combines before the shuffle and spreads a hot
-    group over all tasks, and ``split_median`` searches for the middle, so that no task
-    sees a whole group.
+    Rows are first counted per group and value, which combines before the shuffle and
+    spreads a hot group over all tasks. ``few_values`` says that the number has few distinct
+    values whatever the number of rows, as scores with a fixed range do; the counts of a
+    group then meet in one task. Otherwise ``split_median`` searches for the middle. Both
+    ways give the same result.
     """
     filled = df.filter(F.col(value).isNotNull()).select(
         F.col(group).alias("grp"), F.col(value).alias("val")
     )
-    size = planned_bytes(df)
-    if size is not None and size <= limit_bytes:
-        summary = filled.groupBy("grp").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg("val").alias("mean"),
-            F.median("val").alias("median"),
-            F.min("val").alias("low"),
-            F.max("val").alias("high"),
-        )
+    counts = filled.groupBy("grp", "val").agg(F.count(F.lit(1)).alias("freq"))
+    totals = [
+        F.sum("freq").alias("n"),
+        exact_mean(F.col("val"), F.col("freq")).alias("mean"),
+        F.min("val").alias("low"),
+        F.max("val").alias("high"),
+    ]
+    if few_values:
+        median = F.percentile(F.col("val").cast("double"), 0.5, F.col("freq"))
+        summary = counts.groupBy("grp").agg(*totals, median.alias("median"))
     else:
-        counts = filled.groupBy("grp", "val").agg(F.count(F.lit(1)).alias("freq"))
-        totals = counts.groupBy("grp").agg(
-            F.sum("freq").alias("n"),
-            (F.sum(F.col("val").cast("double") * F.col("freq")) / F.sum("freq")).alias("mean"),
-            F.min("val").alias("low"),
-            F.max("val").alias("high"),
-        )
-        summary = totals.join(split_median(counts), "grp")
+        summary = counts.groupBy("grp").agg(*totals).join(split_median(counts), "grp")
     return summary.select(F.col("grp").alias(group), "n", "mean", "median", "low", "high")
 
 

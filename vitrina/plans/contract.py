@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.functions.numbers import half_even
+from vitrina.functions.numbers import exact_mean, half_even
 from vitrina.operators.explode import explode_dimension
-from vitrina.operators.quantiles import HISTOGRAM_BYTES, grouped_summary
+from vitrina.operators.quantiles import grouped_summary
 from vitrina.spec import CatalogSpec
 
 
@@ -85,18 +85,19 @@ def metric_by_dimension(
     spec: CatalogSpec,
     dimension: str = "genres",
     with_maximum: bool = False,
-    limit_bytes: int = HISTOGRAM_BYTES,
+    few_values: bool | None = None,
 ) -> DataFrame:
     """Mean and median of a metric per dimension value with at least ``support`` items.
 
     Rows without the metric go first, so that a repeated key keeps a value if any of
-    its rows has one.
+    its rows has one. Whether the metric has few distinct values is up to the spec.
     """
     rated = clean.filter(F.col(metric).isNotNull())
     if not spec.unique_key:
         rated = rated.filter(F.col(spec.key).isNotNull())
     pairs = explode_dimension(rated, dimension, spec, extras=[metric], with_key=False)
-    summary = grouped_summary(pairs, dimension, metric, limit_bytes)
+    few = metric in spec.few_valued if few_values is None else few_values
+    summary = grouped_summary(pairs, dimension, metric, few)
     columns = [
         F.col(dimension),
         F.col("n").alias(f"juegos_con_{metric}"),
@@ -157,9 +158,9 @@ def q10_yearly_evolution(clean: DataFrame, spec: CatalogSpec) -> DataFrame:
         .agg(
             _items(spec).alias("videojuegos"),
             F.count("rating").alias("juegos_con_rating"),
-            half_even(F.avg("rating")).alias("rating_promedio"),
+            half_even(exact_mean(F.col("rating"))).alias("rating_promedio"),
             F.count("metacritic").alias("juegos_con_metacritic"),
-            half_even(F.avg("metacritic")).alias("metacritic_promedio"),
+            half_even(exact_mean(F.col("metacritic"))).alias("metacritic_promedio"),
             F.coalesce(F.sum("ratings_count"), F.lit(0)).alias("total_ratings"),
         )
         .orderBy(year)

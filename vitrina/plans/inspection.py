@@ -12,7 +12,7 @@ from vitrina.functions.numbers import half_even, parsed_double
 from vitrina.functions.text import has_text, preview, stripped
 from vitrina.operators.duplicates import collision_groups
 from vitrina.operators.profile import count_share, long_form, null_profile, value_frequency
-from vitrina.operators.quantiles import HISTOGRAM_BYTES, grouped_summary
+from vitrina.operators.quantiles import grouped_summary
 from vitrina.sources.readers import present
 from vitrina.spec import MINIMUM_ROWS, MULTI_VALUE_TEXT, CatalogSpec
 
@@ -68,15 +68,13 @@ def sample_values(
     )
 
 
-def numeric_describe(
-    raw: DataFrame, spec: CatalogSpec, limit_bytes: int = HISTOGRAM_BYTES
-) -> DataFrame:
+def numeric_describe(raw: DataFrame, spec: CatalogSpec, few_values: bool = False) -> DataFrame:
     """Lowest, highest, mean and median number per numeric column of a raw table."""
     numbers = {
         name: F.nullif(parsed_double(stripped(F.col(name))), F.lit(float("nan")))
         for name in present(raw, spec.numeric_columns)
     }
-    summary = grouped_summary(long_form(raw, numbers), "columna", "valor", limit_bytes)
+    summary = grouped_summary(long_form(raw, numbers), "columna", "valor", few_values)
     return summary.select(
         "columna",
         F.col("low").alias("min"),

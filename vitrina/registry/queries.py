@@ -205,19 +205,19 @@ for _function in contract.CONTRACT.values():
 @query
 def q06_rating_by_genre_split(spark, sf_dir):
     return contract.q06_rating_by_genre(
-        orders_clean(spark, sf_dir), ORDER_SPEC, limit_bytes=0
+        orders_clean(spark, sf_dir), ORDER_SPEC, few_values=False
     )
 
 
 @query
 def q09_playtime_by_genre_split(spark, sf_dir):
-    return contract.q09_playtime_by_genre(lines_clean(spark, sf_dir), LINE_SPEC, limit_bytes=0)
+    return contract.q09_playtime_by_genre(lines_clean(spark, sf_dir), LINE_SPEC, few_values=False)
 
 
 @query
 def price_median_by_flag_split(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    summary = grouped_summary(lines, "l_returnflag", "l_extendedprice", limit_bytes=0)
+    summary = grouped_summary(lines, "l_returnflag", "l_extendedprice", few_values=False)
     return summary.select(
         "l_returnflag",
         "n",
@@ -314,7 +314,7 @@ def numeric_describe(spark, sf_dir):
 
 @query
 def numeric_describe_split(spark, sf_dir):
-    return inspection.numeric_describe(lines_raw(spark, sf_dir), LINE_SPEC, limit_bytes=0)
+    return inspection.numeric_describe(lines_raw(spark, sf_dir), LINE_SPEC, few_values=False)
 
 
 @query

@@ -129,6 +129,8 @@ class CatalogSpec:
     rating_support: int = 50
     metacritic_support: int = 20
     playtime_support: int = 30
+    # Metrics with few distinct values whatever the number of items.
+    few_valued: tuple[str, ...] = ("rating", "metacritic", "playtime")
 
     @property
     def numeric_columns(self) -> tuple[str, ...]:
