@@ -64,3 +64,38 @@ def test_means_on_ties_do_not_depend_on_the_way(spark, parts):
     total = F.sum(F.col("v").cast("decimal(20,2)")).cast("double")
     exact = values.groupBy("g").agg((total / F.count("v")).alias("m"))
     assert means[0] == means[1] == {row.g: round(row.m, 12) for row in exact.collect()}
+
+
+CSV_FILES = {
+    "stray": 'id,size,name\n1,a,x\n2,19" monitor,B\n3,"a ""b"", c",C\n4,5" by 7",D\n5,"two\nlines",E\n',
+    "crlf": 'id,size,name\r\n1,"a\r\nb",x\r\n\r\n2,"",""\r\n3,"""q""",z\r\n',
+    "ends": 'id,size,name\n1,"x\n\n,""y"",\n",a\n2,b"",c\n3,"p"q,r\n4,,"last"',
+}
+
+
+@pytest.mark.parametrize("split_bytes", ["7", "64", "1m"])
+def test_csv_read_in_parallel_is_csv_read_whole(spark, tmp_path, split_bytes):
+    from vitrina.sources.csv_records import read_csv_split
+    from vitrina.sources.readers import read_csv
+
+    for name, text in CSV_FILES.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(key) for key in keys]
+    for key in keys:
+        spark.conf.set(key, split_bytes)
+    try:
+        for path in [*(str(tmp_path / f"{name}.csv") for name in CSV_FILES), str(tmp_path)]:
+            got = sorted(map(str, read_csv_split(spark, path).collect()))
+            assert got == sorted(map(str, read_csv(spark, path).collect())), path
+    finally:
+        for key, value in zip(keys, old):
+            spark.conf.set(key, value)
+
+
+def test_csv_that_ends_inside_quotes_fails_and_is_named(spark, tmp_path):
+    from vitrina.sources.csv_records import read_csv_split
+
+    (tmp_path / "cut.csv").write_text('id,name\n1,a\n2,"b\n3,c\n')
+    with pytest.raises(Exception, match="cut.csv"):
+        read_csv_split(spark, str(tmp_path / "cut.csv")).collect()

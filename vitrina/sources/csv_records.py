@@ -1,14 +1,15 @@
 """Reading one huge CSV file in parallel although fields hold line ends.
 
-Spark splits a file by lines, and a line may be part of a record only. Whether a line
-begins a record follows from the number of quotes before it, so quotes are counted per
-split, the few counts are summed along the file, and only the lines of records that span
+Spark splits a file by lines, and a line may be part of a record only. Whether a line begins
+a record depends on whether the text before it ends inside a quoted field. So each line, and
+then each split, is a function of that state: it may set it, keep it or turn it over. The few
+functions of the splits are combined along the file, and only the lines of records that span
 several lines are brought together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitrina.sources.readers import read_csv
@@ -17,12 +18,32 @@ _OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true"}
 _SPLIT = ["file", "block"]
 
 
+def _ends_inside(line: Column, inside: bool) -> Column:
+    """Whether a line ends inside a quoted field, given where it begins.
+
+    A quote opens a field at the field's start only; inside, the next single quote closes it.
+    Doubled quotes change nothing in either place.
+    """
+    text = F.concat(F.lit(","), line) if not inside else line
+    before_quotes = F.split(F.replace(text, F.lit('""'), F.lit("")), '"')
+    return F.aggregate(
+        F.slice(before_quotes, 1, F.size(before_quotes) - 1),
+        F.lit(inside),
+        lambda state, part: ~state & part.endswith(","),
+    )
+
+
+def _turned(state: Column, turns: Column) -> Column:
+    """The state after a number of turns."""
+    return state != (turns % 2 == 1)
+
+
 def record_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row ``record`` per CSV record, headers left out.
 
-    For files in which a field with quotes is itself quoted and quotes are doubled, as
-    CSV writers do; a lone quote inside an unquoted field would shift what follows.
+    Fails, naming the file, when a file ends inside a quoted field.
     """
+    has_quote = F.col("value").contains('"')
     lines = (
         spark.read.option("lineSep", "\n")
         .text(path)
@@ -33,33 +54,75 @@ def record_texts(spark: SparkSession, path: str) -> DataFrame:
             F.monotonically_increasing_id().alias("line"),
             "value",
         )
-        .withColumn(
-            "quotes",
-            F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit(""))),
-        )
+        .withColumn("from_out", F.when(has_quote, _ends_inside(F.col("value"), False)).otherwise(False))
+        .withColumn("from_in", F.when(has_quote, _ends_inside(F.col("value"), True)).otherwise(True))
+    )
+    # A window holds one split, whose size is bounded by the session.
+    upto = Window.partitionBy(*_SPLIT).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    turns = F.count_if(F.col("from_out") & ~F.col("from_in"))
+    sets = F.col("from_out") == F.col("from_in")
+    lines = lines.withColumn("turns", turns.over(upto)).withColumn(
+        "set",
+        F.last(
+            F.when(sets, F.struct(F.col("from_out").alias("state"), F.col("turns").alias("at"))),
+            ignorenulls=True,
+        ).over(upto),
     )
     # One row per split: small beside the text.
     splits = lines.groupBy(*_SPLIT).agg(
-        F.sum("quotes").alias("total"),
+        F.max_by(F.struct("set", "turns"), "line").alias("end"),
         F.min(F.struct("line", F.col("value").endswith("\r").alias("crlf"))).alias("first"),
     )
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select(
         *_SPLIT,
-        F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"),
-        F.when(F.col("block") == 0, F.col("first.line")).alias("header"),
-        # The first line tells how the lines of a file end.
-        F.max(F.when(F.col("block") == 0, F.col("first.crlf")))
-        .over(Window.partitionBy("file"))
-        .alias("crlf"),
+        "first",
+        F.when(
+            F.col("end.set").isNotNull(),
+            _turned(F.col("end.set.state"), F.col("end.turns") - F.col("end.set.at")),
+        ).alias("set_to"),
+        F.when(F.col("end.set").isNull(), F.col("end.turns") % 2).otherwise(0).alias("turn"),
     )
-    # A window holds one split, whose size is bounded by the session.
-    upto = Window.partitionBy(*_SPLIT).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy("file").orderBy("block")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    through = along.rowsBetween(Window.unboundedPreceding, 0)
+    whole_file = Window.partitionBy("file")
+
+    def state_over(window) -> Column:
+        """The state after the splits of a window; a file begins outside."""
+        last = F.last(
+            F.when(F.col("set_to").isNotNull(), F.struct("set_to", "turned")), ignorenulls=True
+        ).over(window)
+        turned = F.coalesce(F.max("turned").over(window), F.lit(0))
+        return F.when(last.isNull(), turned % 2 == 1).otherwise(
+            _turned(last["set_to"], turned - last["turned"])
+        )
+
+    splits = (
+        splits.withColumn("turned", F.sum("turn").over(through))
+        .withColumn("inside", state_over(earlier))
+        .withColumn("after", state_over(through))
+        .withColumn("open", F.max_by("after", "block").over(whole_file))
+        .select(
+            *_SPLIT,
+            "inside",
+            "open",
+            F.when(F.col("block") == 0, F.col("first.line")).alias("header"),
+            # The first line tells how the lines of a file end.
+            F.max(F.when(F.col("block") == 0, F.col("first.crlf"))).over(whole_file).alias("crlf"),
+        )
+    )
+    unclosed = F.raise_error(F.concat(F.lit("the file ends inside a quoted field: "), F.col("file")))
+    inside_after = F.when(
+        F.col("set").isNull(), _turned(F.col("inside"), F.col("turns"))
+    ).otherwise(_turned(F.col("set.state"), F.col("turns") - F.col("set.at")))
+    order = Window.partitionBy(*_SPLIT).orderBy("line")
     placed = (
-        lines.withColumn("upto", F.sum("quotes").over(upto))
-        .join(splits, _SPLIT)
-        .withColumn("closes", (F.col("before") + F.col("upto")) % 2 == 0)
-        .withColumn("begins", (F.col("before") + F.col("upto") - F.col("quotes")) % 2 == 0)
+        lines.join(splits, _SPLIT)
+        .withColumn(
+            "inside_after", F.when(F.col("open"), unclosed.cast("boolean")).otherwise(inside_after)
+        )
+        .withColumn("closes", ~F.col("inside_after"))
+        .withColumn("begins", ~F.coalesce(F.lag("inside_after").over(order), F.col("inside")))
         .withColumn(
             "start", F.last(F.when(F.col("begins"), F.col("line")), ignorenulls=True).over(upto)
         )
