@@ -6,13 +6,16 @@ hash.
 
 1. Documents with equal sets are one node. A linked pair shares one of the first shingles of
    both (the prefix filter). The sampled shingles are counted over all documents; a node
-   whose prefix holds only shingles of its own can have no link, and goes no further. For
-   most corpora that leaves the near copies.
-2. The hash range is cut into fragments. A node's set is cut at the same places, partial
-   overlaps of a pair are counted per fragment, and their sum decides.
+   whose prefix holds only shingles of its own can have no link, and goes no further.
+2. The hash range is cut into fragments, and the sets of the nodes left at the same places.
+   Fragment after fragment, all their shingles are counted. How many of a node's are its own
+   bounds every overlap it can have; nodes and pairs that cannot reach a link go. What is left
+   are the near copies. Partial overlaps of a pair are counted per fragment, and their sum
+   decides.
 3. In a group of many near copies not every pair is needed to know that it hangs together.
-   First each node is compared to two nodes of each shingle it meets others at. Pairs that
-   are not yet connected then, and only those, are compared exhaustively.
+   First each node is compared to two nodes of each shingle it meets others at, then in a few
+   rounds to one of another component. Pairs that are not yet connected after that, and only
+   those, are compared exhaustively.
 4. Components grow by taking the smallest number of all neighbours and of their roots, on
    tables in the shared folder.
 
@@ -38,13 +41,18 @@ from pyspark.sql import functions as F
 
 from vitrina.llm.tables import discard, id_and_text, row_and_text, table, written
 from vitrina.llm.url_cascade import Level, filter_of
+from vitrina.operators.compare import union_all
 
 WORDS = 5
 PERCENT = 80
 FRAGMENTS = 8
+#: Fragments that are counted at once; their counts are all that is shuffled at a time.
+TOGETHER = 2
 SALTS = 16
 #: Tenths of all shingles, by hash, that come first in the global order and are counted.
 SAMPLED = 3
+#: Rounds in which each node is compared to one drawn node at each of its shingles.
+TURNS = 3
 #: Bits of the filter over texts with candidates.
 FILTER_BITS = 1 << 22
 CACHED = 1 << 18
@@ -130,25 +138,21 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The whole set of each text, cut into fragments of the hash range."""
-    names = ["key", "fragment", "tokens"]
     cuts = np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)
     for _, sets in _texts(batches):
-        keys, fragments, tokens = [], [], []
-        for one in sets:
-            key = xxhash.xxh3_128_digest(one.tobytes())
-            for fragment, piece in enumerate(np.split(one, np.searchsorted(one, cuts))):
-                if len(piece):
-                    keys.append(key)
-                    fragments.append(fragment)
-                    tokens.append(piece)
+        keys = [xxhash.xxh3_128_digest(one.tobytes()) for one in sets]
+        pieces = [piece for one in sets for piece in np.split(one, np.searchsorted(one, cuts))]
+        ends = pa.array(range(0, len(pieces) + 1, FRAGMENTS), pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()), pa.array(fragments, pa.int32()), _lists(tokens)], names
+            [pa.array(keys, pa.binary()), pa.ListArray.from_arrays(ends, _lists(pieces))],
+            ["key", "fragments"],
         )
 
 
 def _fitting(one: Column, other: Column) -> Column:
-    """Whether two set sizes allow a link."""
-    return 100 * F.least(one, other) >= PERCENT * F.greatest(one, other)
+    """Whether two nodes may be linked, by their sizes ``n`` and their ``own`` shingles."""
+    most = F.least(one["n"] - one["own"], other["n"] - other["own"])
+    return 100 * most >= PERCENT * (one["n"] + other["n"] - most)
 
 
 def _first_pairs(meetings: DataFrame) -> DataFrame:
@@ -159,24 +163,24 @@ def _first_pairs(meetings: DataFrame) -> DataFrame:
     salted = meetings.withColumn("salt", F.pmod("node", F.lit(SALTS)))
 
     def pairs(window) -> Column:
-        ends = [F.min(F.struct("node", "n")).over(window), F.max(F.struct("node", "n")).over(window)]
-        return F.array(*ends)
+        node = F.struct("node", "n", "own")
+        return F.array(F.min(node).over(window), F.max(node).over(window))
 
     inside = salted.select(
-        "token", "node", "n", "salt", pairs(Window.partitionBy("token", "salt")).alias("ends")
+        "token", "node", "n", "own", "salt", pairs(Window.partitionBy("token", "salt")).alias("ends")
     )
     # One node stands for its part.
-    heads = inside.filter(F.col("node") == F.col("ends")[0]["node"]).select("token", "node", "n")
-    across = heads.select("token", "node", "n", pairs(Window.partitionBy("token")).alias("ends"))
+    heads = inside.filter(F.col("node") == F.col("ends")[0]["node"]).select("token", "node", "n", "own")
+    across = heads.select("token", "node", "n", "own", pairs(Window.partitionBy("token")).alias("ends"))
 
     def found(table_: DataFrame) -> DataFrame:
-        return table_.select("node", "n", F.explode("ends").alias("end"))
+        return table_.select("node", F.struct("n", "own").alias("size"), F.explode("ends").alias("end"))
 
     both = found(inside.filter(F.col("ends")[0]["node"] != F.col("ends")[1]["node"])).unionByName(
         found(across.filter(F.col("ends")[0]["node"] != F.col("ends")[1]["node"]))
     )
     return (
-        both.filter((F.col("node") != F.col("end.node")) & _fitting(F.col("n"), F.col("end.n")))
+        both.filter((F.col("node") != F.col("end.node")) & _fitting(F.col("size"), F.col("end")))
         .select(
             F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b")
         )
@@ -184,6 +188,23 @@ def _first_pairs(meetings: DataFrame) -> DataFrame:
     )
 
 
+def _next_pairs(meetings: DataFrame, labels: DataFrame, seen: DataFrame, turn: int) -> DataFrame:
+    """Each node with one node of another component at each of its shingles, drawn by hash."""
+    named = meetings.join(labels, "node")
+    drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n", "own", "label")
+    heads = named.groupBy("token").agg(F.min(drawn).alias("head"))
+    return (
+        named.join(heads, "token")
+        .filter(F.col("label") != F.col("head.label"))
+        .filter(_fitting(F.struct("n", "own"), F.col("head")))
+        .select(
+            F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")
+        )
+        .distinct()
+        .join(seen, ["a", "b"], "left_anti")
+    )
+
+
 def _open_pairs(meetings: DataFrame, labels: DataFrame, seen: DataFrame) -> DataFrame:
     """Pairs that meet at a shingle, fit in size, and are neither connected nor compared."""
     named = meetings.join(labels, "node")
@@ -194,13 +215,16 @@ def _open_pairs(meetings: DataFrame, labels: DataFrame, seen: DataFrame) -> Data
     )
     left = named.join(mixed.select("token"), "token", "left_semi")
     right = left.select(
-        "token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b")
+        "token",
+        F.col("node").alias("b"),
+        F.struct("n", "own").alias("size_b"),
+        F.col("label").alias("label_b"),
     )
     return (
-        left.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), "label")
+        left.select("token", F.col("node").alias("a"), F.struct("n", "own").alias("size_a"), "label")
         .join(right, "token")
         .filter((F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")))
-        .filter(_fitting(F.col("n_a"), F.col("n_b")))
+        .filter(_fitting(F.col("size_a"), F.col("size_b")))
         .select("a", "b")
         .distinct()
         .join(seen, ["a", "b"], "left_anti")
@@ -209,14 +233,13 @@ def _open_pairs(meetings: DataFrame, labels: DataFrame, seen: DataFrame) -> Data
 
 def _linked(pairs: DataFrame, fragments: DataFrame, sizes: DataFrame) -> DataFrame:
     """The pairs whose partial overlaps sum up to a link."""
-    one = fragments.select(F.col("node").alias("a"), "fragment", F.col("tokens").alias("tokens_a"))
-    other = fragments.select(F.col("node").alias("b"), "fragment", F.col("tokens").alias("tokens_b"))
+    one = fragments.select(F.col("node").alias("a"), F.col("fragments").alias("of_a"))
+    other = fragments.select(F.col("node").alias("b"), F.col("fragments").alias("of_b"))
+    partial = F.zip_with("of_a", "of_b", lambda x, y: F.size(F.array_intersect(x, y)))
     overlaps = (
         pairs.join(one, "a")
-        .join(other, ["b", "fragment"])
-        .select("a", "b", F.size(F.array_intersect("tokens_a", "tokens_b")).alias("overlap"))
-        .groupBy("a", "b")
-        .agg(F.sum("overlap").alias("overlap"))
+        .join(other, "b")
+        .select("a", "b", F.aggregate(partial, F.lit(0), lambda total, x: total + x).alias("overlap"))
     )
     sized = overlaps.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(
         sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b"
@@ -274,8 +297,8 @@ def _chosen(keys: DataFrame, seed: int) -> Level:
     return filter_of(keys, count, min(10.0, FILTER_BITS / count), seed)
 
 
-def _meetings(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``token``, ``node`` and ``n`` for shared shingles in the prefixes of nodes."""
+def _alive(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes whose prefix holds a sampled shingle that another row has too."""
     # Sampled shingles that only one row has; those of copied sets count as shared.
     lone = (
         rows.select("node", F.explode(F.slice("first", 1, F.col("sampled"))).alias("token"))
@@ -285,31 +308,53 @@ def _meetings(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         .groupBy("node")
         .agg(F.count(F.lit(1)).alias("lone"))
     )
-    alive = written(
-        nodes.select("node", "n")
-        .join(lone, "node", "left")
-        .filter(F.coalesce("lone", F.lit(0)) < _prefix())
-        .select("node"),
-        "alive",
+    return nodes.select("node", "n").join(lone, "node", "left").filter(
+        F.coalesce("lone", F.lit(0)) < _prefix()
+    ).select("node", "n")
+
+
+def _with_own(alive: DataFrame, fragments: DataFrame) -> DataFrame:
+    """The nodes with fewer shingles of their ``own`` than a prefix, counted fragment-wise."""
+    parts = None
+    for first in range(0, FRAGMENTS, TOGETHER):
+        own = (
+            fragments.select("node", F.slice("fragments", first + 1, TOGETHER).alias("some"))
+            .select("node", F.explode(F.flatten("some")).alias("token"))
+            .groupBy("token")
+            .agg(F.count(F.lit(1)).alias("nodes"), F.min("node").alias("node"))
+            .filter("nodes = 1")
+            .groupBy("node")
+            .agg(F.count(F.lit(1)).alias("own"))
+        )
+        own = written(own, "own")
+        parts = own if parts is None else parts.unionByName(own)
+    total = parts.groupBy("node").agg(F.sum("own").alias("own"))
+    counted = alive.join(total, "node", "left").select(
+        "node", "n", F.coalesce("own", F.lit(0)).cast("long").alias("own")
     )
-    filled = _chosen(alive.select(F.col("node").alias("key")), 29)
+    return counted.filter(F.col("own") < _prefix())
+
+
+def _meetings(rows: DataFrame, left: DataFrame) -> DataFrame:
+    """``token``, ``node``, ``n`` and ``own`` for shared shingles in the prefixes of nodes."""
+    filled = _chosen(left.select(F.col("node").alias("key")), 29)
     listed = written(
         rows.filter(filled.holds(F.col("node")))
-        .select("node", "n", "first", "sampled")
-        .join(alive, "node", "left_semi")
-        .select("node", "n", "sampled", F.posexplode("first").alias("place", "token")),
+        .select("node", "first", "sampled")
+        .join(left, "node")
+        .select("node", "n", "own", "sampled", F.posexplode("first").alias("place", "token")),
         "first-shingles",
     )
     often = listed.groupBy("token").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
     shared = listed.join(often, "token").withColumn("counted", F.col("place") < F.col("sampled"))
-    own = Window.partitionBy("node")
-    order = own.orderBy(F.desc("counted"), "nodes", "token")
+    by_node = Window.partitionBy("node")
+    order = by_node.orderBy(F.desc("counted"), "nodes", "token")
     # Sampled shingles that no other node here has stand before the shared ones.
-    before = F.col("sampled") - F.sum(F.col("counted").cast("int")).over(own)
+    before = F.col("sampled") - F.sum(F.col("counted").cast("int")).over(by_node)
     ranked = shared.withColumn("rank", F.row_number().over(order)).withColumn("before", before)
     return ranked.filter(
         ~F.col("counted") | (F.col("rank") + F.col("before") <= _prefix())
-    ).select("token", "node", "n")
+    ).select("token", "node", "n", "own")
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -334,12 +379,11 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         "nodes",
     )
     sizes = nodes.select("node", "n")
-    meetings = written(_meetings(sets, nodes), "meetings")
-    discard(sets)
+    alive = written(_alive(sets, nodes), "alive")
 
-    # Whole sets are made again for the nodes that meet another one, and only for those.
-    meeting = nodes.join(meetings.select("node").distinct(), "node", "left_semi")
-    wanted = rows.select("node", "h").join(meeting, "node", "left_semi").select(F.col("h").alias("key"))
+    # Whole sets are made again for the nodes left, and only for those.
+    left = nodes.join(alive.select("node"), "node", "left_semi")
+    wanted = rows.select("node", "h").join(alive, "node", "left_semi").select(F.col("h").alias("key"))
     chosen = _chosen(wanted, 23)
     again = (
         texts.select("text")
@@ -347,15 +391,18 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         .groupBy(F.xxhash64("text").alias("h"), F.md5("text").alias("digest"))
         .agg(F.first("text").alias("text"))
         .select("text")
-        .mapInArrow(_token_rows, "key binary, fragment int, tokens array<bigint>")
+        .mapInArrow(_token_rows, "key binary, fragments array<array<bigint>>")
     )
     # Several texts may have one set.
     fragments = written(
-        again.join(meeting.select("key", "node"), "key")
-        .groupBy("node", "fragment")
-        .agg(F.first("tokens").alias("tokens")),
+        again.join(left.select("key", "node"), "key")
+        .groupBy("node")
+        .agg(F.first("fragments").alias("fragments")),
         "fragments",
     )
+    counted = written(_with_own(alive, fragments), "counted")
+    meetings = written(_meetings(sets, counted), "meetings")
+    discard(sets)
 
     first = written(_first_pairs(meetings), "pairs")
     links = written(_linked(first, fragments, sizes), "links")
@@ -365,11 +412,20 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             "node", F.coalesce("label", "node").alias("label")
         )
 
+    compared, found = [first], [links]
     labels = labelled(links)
-    more = written(_open_pairs(meetings, labels, first), "pairs")
-    late = written(_linked(more, fragments, sizes), "links")
-    if not late.isEmpty():
-        labels = labelled(links.unionByName(late))
+    for turn in range(TURNS + 1):
+        seen, last = union_all(compared), turn == TURNS
+        more = written(
+            _open_pairs(meetings, labels, seen)
+            if last
+            else _next_pairs(meetings, labels, seen, turn),
+            "pairs",
+        )
+        compared.append(more)
+        found.append(written(_linked(more, fragments, sizes), "links"))
+        if not found[-1].isEmpty():
+            labels = labelled(union_all(found))
     # The smallest id of a component, over the smallest ids of its nodes.
     named = nodes.join(labels, "node")
     smallest = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
@@ -377,7 +433,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         named.join(smallest, "label").select("key", "component_id", F.col("label").alias("group")),
         "components",
     )
-    for table_ in (meetings, fragments, first, links, more, late):
+    for table_ in (meetings, fragments, *compared, *found):
         discard(table_)
     return rows.join(by_key, "key", "left").select(
         "id",
