@@ -709,9 +709,9 @@ def oracles() -> dict[str, str]:
     sql["document_word_stats"] = word_stats_sql("documents")
     sql["conversation_word_stats"] = word_stats_sql("conversations")
     sql["event_timing_rollup"] = """
-        WITH e AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS motor FROM events),
-        t AS (SELECT CAST(user_id AS VARCHAR) AS motor, sum(value) AS s FROM events
-            WHERE event_type <> 'signup' AND value > 150 GROUP BY 1)
+        WITH e AS (SELECT CAST(user_id AS VARCHAR) AS motor FROM events
+            UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer),
+        t AS (SELECT CAST(user_id AS VARCHAR) AS motor, sum(value) AS s FROM events GROUP BY 1)
         SELECT motor, round_even(s, 4) AS tiempo_segundos,
             round_even(s / (SELECT min(s) FROM t), 4) AS vs_mas_rapido
         FROM e LEFT JOIN t USING (motor)"""
@@ -721,9 +721,9 @@ def oracles() -> dict[str, str]:
     )
     sql["event_engine_times"] = (
         "SELECT CAST(event_id AS VARCHAR) AS motor, event_type AS entorno, "
-        "CASE WHEN event_type <> 'error' OR user_id < 100 THEN value END AS tiempo_segundos, "
-        "CASE WHEN event_type <> 'error' THEN 'registro' WHEN user_id < 100 THEN 'reporte' END "
-        "AS fuente FROM events"
+        "value AS tiempo_segundos, "
+        "CASE WHEN event_type <> 'error' THEN 'registro' ELSE 'reporte' END AS fuente FROM events "
+        "UNION ALL SELECT 'c' || c_custkey, c_mktsegment, NULL, NULL FROM customer"
     )
     sql["long_ratings"] = orders(
         union(

@@ -625,13 +625,16 @@ def conversation_word_stats(spark, sf_dir):
 
 @query
 def event_timing_rollup(spark, sf_dir):
-    # Users stand for engines and event values for seconds; sign-ups are not timed, so
-    # a user with nothing else has no time.
+    # Customers and users stand for engines and event values for seconds; a customer without
+    # events has no time.
     events = table(spark, sf_dir, "events")
-    engines = events.select(F.col("user_id").cast("string").alias("motor"))
-    timings = events.filter("event_type <> 'signup' AND value > 150").select(
+    timings = events.select(
         F.col("user_id").cast("string").alias("motor"), F.col("value").alias("tiempo_segundos")
     )
+    customers = table(spark, sf_dir, "customer")
+    engines = customers.select(F.col("c_custkey").cast("string").alias("motor")).unionByName(
+        timings.select("motor")
+    )
     rollup = timing_rollup(engines, timings)
     return rollup.withColumns(
         {name: half_even(F.col(name), 4) for name in ("tiempo_segundos", "vs_mas_rapido")}
@@ -661,11 +664,14 @@ def event_log_totals(spark, sf_dir):
 
 @query
 def event_engine_times(spark, sf_dir):
-    # Each event is an engine with a log; only some users also left a report.
+    # Each event is an engine with a log and a report; customers are engines without either.
     events = table(spark, sf_dir, "events").withColumn("motor", F.col("event_id").cast("string"))
-    engines = events.select("motor", F.col("event_type").alias("entorno"))
+    customers = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), "c_custkey").alias("motor"), F.col("c_mktsegment").alias("entorno")
+    )
+    engines = events.select("motor", F.col("event_type").alias("entorno")).unionByName(customers)
     logs = events.select("motor", _event_log().alias("registro"))
-    report = events.filter("user_id < 100").select("motor", _decimal_comma().alias("seconds"))
+    report = events.select("motor", _decimal_comma().alias("seconds"))
     return engine_times(engines, logs, report_seconds(report))
 
 
