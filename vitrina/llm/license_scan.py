@@ -53,26 +53,26 @@ NAMES = (
     ("bsd-3-clause", "bsd", "(?:new|modified|revised|3 clause|three clause) bsd licen[cs]e"),
     ("bsd-4-clause", "bsd", "(?:original|4 clause|four clause) bsd licen[cs]e"),
     ("bsd", "bsd", "bsd(?: style)? licen[cs]e"),
-    ("apache-1.1", "apache", "apache(?: software)? licen[cs]e(?: version)? 1 1"),
-    ("apache-2.0", "apache", "apache(?: software)? licen[cs]e(?: version)? 2(?: 0)?"),
+    ("apache-1.1", "apache", "apache(?: software)? licen[cs]e(?: version)? v?1 1"),
+    ("apache-2.0", "apache", "apache(?: software)? licen[cs]e(?: version)? v?2(?: 0)?"),
     ("apache", "apache", "apache(?: software)? licen[cs]e"),
-    ("gpl-1.0", "general", "gnu general public licen[cs]e(?: version)? 1(?: 0)?"),
-    ("gpl-2.0", "general", "gnu general public licen[cs]e(?: version)? 2(?: 0)?"),
-    ("gpl-3.0", "general", "gnu general public licen[cs]e(?: version)? 3(?: 0)?"),
+    ("gpl-1.0", "general", "gnu general public licen[cs]e(?: version)? v?1(?: 0)?"),
+    ("gpl-2.0", "general", "gnu general public licen[cs]e(?: version)? v?2(?: 0)?"),
+    ("gpl-3.0", "general", "gnu general public licen[cs]e(?: version)? v?3(?: 0)?"),
     ("gpl", "general", "(?:gnu )?general public licen[cs]e"),
     ("gpl-2.0", "gpl", "gpl ?v? ?2(?: 0)?"),
     ("gpl-3.0", "gpl", "gpl ?v? ?3(?: 0)?"),
     ("gpl", "gpl", "(?:gnu )?gpl"),
-    ("lgpl-2.1", "lesser", "gnu (?:lesser|library) general public licen[cs]e(?: version)? 2(?: [01])?"),
-    ("lgpl-3.0", "lesser", "gnu lesser general public licen[cs]e(?: version)? 3(?: 0)?"),
+    ("lgpl-2.1", "lesser", "gnu (?:lesser|library) general public licen[cs]e(?: version)? v?2(?: [01])?"),
+    ("lgpl-3.0", "lesser", "gnu lesser general public licen[cs]e(?: version)? v?3(?: 0)?"),
     ("lgpl", "lesser", "(?:gnu )?lesser general public licen[cs]e"),
     ("lgpl", "lgpl", "(?:gnu )?lgpl(?: ?v? ?[23](?: [01])?)?"),
     ("agpl-3.0", "affero", "(?:gnu )?affero general public licen[cs]e(?: version)?(?: 3(?: 0)?)?"),
     ("agpl-3.0", "agpl", "(?:gnu )?agpl(?: ?v? ?3(?: 0)?)?"),
     ("gfdl", "documentation", "(?:gnu )?free documentation licen[cs]e(?: version)?(?: 1(?: [0-9])?)?"),
-    ("mpl-1.1", "mozilla", "mozilla public licen[cs]e(?: version)? 1(?: [01])?"),
+    ("mpl-1.1", "mozilla", "mozilla public licen[cs]e(?: version)? v?1(?: [01])?"),
     ("mpl-2.0", "mozilla", "mozilla public licen[cs]e(?: version)?(?: 2(?: 0)?)?"),
-    ("epl-1.0", "eclipse", "eclipse public licen[cs]e(?: version)? 1(?: 0)?"),
+    ("epl-1.0", "eclipse", "eclipse public licen[cs]e(?: version)? v?1(?: 0)?"),
     ("epl-2.0", "eclipse", "eclipse public licen[cs]e(?: version)?(?: v?2(?: 0)?)?"),
     ("cddl", "distribution", "common development and distribution licen[cs]e(?: version)?(?: 1(?: [01])?)?"),
     ("cpl-1.0", "common", "common public licen[cs]e(?: version)?(?: 1(?: 0)?)?"),
