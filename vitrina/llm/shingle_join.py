@@ -52,7 +52,7 @@ SALTS = 16
 #: Tenths of all shingles, by hash, that come first in the global order and are counted.
 SAMPLED = 3
 #: Rounds in which each node is compared to one drawn node at each of its shingles.
-TURNS = 3
+TURNS = 1
 #: Bits of the filter over texts with candidates.
 FILTER_BITS = 1 << 22
 CACHED = 1 << 18
