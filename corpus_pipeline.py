@@ -37,12 +37,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without long repeated strings; a text of which nothing is left goes.
 
-    A cut may split a character; what is left of it goes too.
+    A cut may split a character; what is left of it goes too, and nothing else.
     """
-    left = suffix_dedup.without_repeats(row_and_text(docs, "text"))
-    text = F.when(
-        F.col("n_removed") > 0, F.expr("replace(try_validate_utf8(kept), '\ufffd', '')")
-    ).otherwise(F.col("row.text"))
+    left = suffix_dedup.without_repeats(row_and_text(docs, "text"), characters=True)
+    text = F.when(F.col("n_removed") > 0, F.decode("kept", "UTF-8")).otherwise(F.col("row.text"))
     cut = left.filter("n_removed = 0 OR length(kept) > 0")
     return _with_text(cut.select("row", text.alias("new")), F.col("new"))
 

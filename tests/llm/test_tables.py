@@ -209,3 +209,28 @@ def test_pipeline_stages(spark, tmp_path):
                 assert row.n_chars == len(row.text)
     assert names == ["quality_rules", "shingle_join", "suffix_dedup", "pii", "packing"]
     assert sizes[-1] >= sizes[-2]
+
+
+def test_cut_characters_cost_only_themselves(spark):
+    passage = "".join(f"{number} shared " for number in range(40))
+    rows = [
+        (1, f"first own \ufffd text à{passage}é ends here"),
+        (2, f"second own text Ġ{passage}à stops there"),
+        (3, f"third 日{passage}本 text"),
+        (4, f"fourth 旦{passage}末 text"),
+        (5, passage),
+        (6, "nothing in common"),
+    ]
+    docs = spark.createDataFrame(
+        [(key, text, "fr", "web", len(text)) for key, text in rows],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    left = corpus_pipeline.repeated_strings(spark, docs, SF).collect()
+    assert {row.doc_id: row.text for row in left} == {
+        1: "first own \ufffd text  ends here",
+        2: "second own text  stops there",
+        3: "third 日 text",
+        4: "fourth 旦 text",
+        6: "nothing in common",
+    }
+    assert all(row.n_chars == len(row.text) for row in left)

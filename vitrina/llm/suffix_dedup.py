@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -450,7 +451,16 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, Level]:
     return spans, _holding(spans.select(F.xxhash64("digest").alias("key")))
 
 
-def _removal_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def whole_characters(raw: bytes, gone: np.ndarray) -> np.ndarray:
+    """``gone`` with all other bytes of each UTF-8 character that loses one."""
+    first = (np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80
+    character = np.cumsum(first) - 1
+    split = np.zeros(len(raw), dtype=bool)
+    split[character[gone]] = True
+    return split[character]
+
+
+def _removal_rows(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
     """Replaces the text and its spans by sizes and the bytes that are kept."""
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
@@ -467,6 +477,8 @@ def _removal_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 gone = np.cumsum(change[:-1]) > 0
                 removed.append(int(gone.sum()))
                 spans.append(int(np.count_nonzero(np.diff(np.concatenate([[0], gone.view(np.int8)])) == 1)))
+                if whole:
+                    gone = whole_characters(raw, gone)
                 kept.append(np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -479,8 +491,12 @@ def _removal_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def without_repeats(texts: DataFrame) -> DataFrame:
-    """``row`` of every text with ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes."""
+def without_repeats(texts: DataFrame, characters: bool = False) -> DataFrame:
+    """``row`` of every text with ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes.
+
+    With ``characters`` the rest of a character that is cut is not kept either, so ``kept`` is
+    UTF-8; the counts are of the repeated bytes all the same.
+    """
     spans, filled = repeated_spans(texts)
     sized = texts.select(
         F.struct("row", F.octet_length("text").cast("long").alias("n_bytes")).alias("row"),
@@ -492,7 +508,7 @@ def without_repeats(texts: DataFrame) -> DataFrame:
     )
     fields = touched.select("row").schema
     cut = touched.mapInArrow(
-        _removal_rows,
+        partial(_removal_rows, whole=characters),
         fields.add("n_removed", "long").add("n_spans", "long").add("kept", "binary"),
     )
     whole = sized.filter("NOT listed").select(
