@@ -309,6 +309,53 @@ def test_license_scan(spark, docs):
     assert len(license_scan.signatures()) > 250
 
 
+def strings_of(expression):
+    """Every string that a regular expression without open repeats matches."""
+
+    def of(parts):
+        made = [""]
+        for kind, value in parts:
+            name = str(kind)
+            if name == "LITERAL":
+                more = [chr(value)]
+            elif name == "IN":
+                more = []
+                for one, inside in value:
+                    span = range(inside[0], inside[1] + 1) if str(one) == "RANGE" else [inside]
+                    more += map(chr, span)
+            elif name == "BRANCH":
+                more = [text for branch in value[1] for text in of(branch)]
+            elif name == "SUBPATTERN":
+                more = of(value[-1])
+            else:
+                assert name == "MAX_REPEAT" and value[:2] == (0, 1), name
+                more = ["", *of(value[2])]
+            made = [left + right for left in made for right in more]
+        return made
+
+    return of(re._parser.parse(expression))
+
+
+def test_every_name_holds_its_keyword():
+    for _, keyword, name in license_scan.NAMES:
+        for text in strings_of(name):
+            assert re.fullmatch(name, text) and keyword in text, (keyword, text)
+            assert re.search(license_scan.GATE, f"{text} "), text
+
+
+def test_library_names_of_the_lesser_license(spark):
+    texts = [
+        "licensed under the terms of the GNU Library General Public License version 2",
+        "GNU Library General Public License, version 2.0",
+        "the Library General Public License",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = license_scan.scan(frame).orderBy("doc_id").collect()
+    labels = [[one.label for one in row.detections] for row in rows]
+    assert labels == [["lgpl-2.1"], ["lgpl-2.1"], ["lgpl"]]
+    assert [[tuple(one) for one in row.detections] for row in rows] == [plain_scan(t)[2] for t in texts]
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     rows = {row.doc_id: row for row in LLM_QUERIES["op4_toxicity"](spark, sf).collect()}

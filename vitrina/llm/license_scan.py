@@ -63,9 +63,9 @@ NAMES = (
     ("gpl-2.0", "gpl", "gpl ?v? ?2(?: 0)?"),
     ("gpl-3.0", "gpl", "gpl ?v? ?3(?: 0)?"),
     ("gpl", "gpl", "(?:gnu )?gpl"),
-    ("lgpl-2.1", "lesser", "gnu (?:lesser|library) general public licen[cs]e(?: version)? v?2(?: [01])?"),
+    ("lgpl-2.1", "general", "gnu (?:lesser|library) general public licen[cs]e(?: version)? v?2(?: [01])?"),
     ("lgpl-3.0", "lesser", "gnu lesser general public licen[cs]e(?: version)? v?3(?: 0)?"),
-    ("lgpl", "lesser", "(?:gnu )?lesser general public licen[cs]e"),
+    ("lgpl", "general", "(?:gnu )?(?:lesser|library) general public licen[cs]e"),
     ("lgpl", "lgpl", "(?:gnu )?lgpl(?: ?v? ?[23](?: [01])?)?"),
     ("agpl-3.0", "affero", "(?:gnu )?affero general public licen[cs]e(?: version)?(?: 3(?: 0)?)?"),
     ("agpl-3.0", "agpl", "(?:gnu )?agpl(?: ?v? ?3(?: 0)?)?"),
