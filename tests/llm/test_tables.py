@@ -174,6 +174,24 @@ def test_odd_vectors(spark):
     assert graph_search.nearest(frame.limit(0), lambda key: key % 20 == 0).collect() == []
 
 
+@pytest.mark.parametrize("length", [1e5, 3e38])
+def test_one_very_long_vector(spark, length):
+    random = np.random.default_rng(8)
+    vectors = random.normal(size=(600, 16))
+    vectors /= np.sqrt((vectors**2).sum(axis=1, keepdims=True))
+    vectors[7] *= length
+    vectors = vectors.astype(np.float32).astype(float)
+    rows = [(number, vector.tolist()) for number, vector in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = {}
+    for row in graph_search.nearest(frame, lambda key: key % 20 == 0).collect():
+        assert row.score == pytest.approx(vectors[row.query_id] @ vectors[row.id], rel=1e-9)
+        found.setdefault(row.query_id, set()).add(row.id)
+    want = dict(graph_search.brute_force(np.arange(600), vectors))
+    assert set(found) == set(want)
+    assert np.mean([len(found[key] & set(ids)) / len(ids) for key, ids in want.items()]) >= 0.9
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs, sizes, names = spark.read.parquet(f"{SF}/documents.parquet"), [], []
     for number, (name, stage) in enumerate(corpus_pipeline.STAGES):

@@ -8,6 +8,8 @@ the best of all shards count. Scores are then exact, in double precision.
 
 The largest inner product is sought. For that, vectors get one more component that brings
 all to the same length; the nearest point for a query is then the one of largest product.
+A shard holds vectors of one band of lengths, whose lengths differ by a factor of 2 at most,
+and lifts them to its own largest one: a very long vector does not drown the others.
 
 A shard has at most ``SHARD_ROWS`` vectors on average and a block of queries ``BLOCK_ROWS``;
 shards meet blocks one pair at a time, so no task grows with the table.
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrina.llm.tables import table
@@ -151,43 +153,53 @@ def _add_back(points: np.ndarray, edges: np.ndarray, nodes: np.ndarray) -> None:
             edges[full] = prune(points, full, both[~roomy])
 
 
-def lifted(vectors: np.ndarray, most: float) -> np.ndarray:
-    """Vectors with one more component, so that all have the length whose square is ``most``."""
-    rest = np.sqrt(np.maximum(0.0, most - (vectors**2).sum(axis=1)))
-    return np.concatenate([vectors, rest[:, None]], axis=1).astype(np.float32)
+def scaled(vectors: np.ndarray, axis: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors, together or (axis 1) each, divided by a power of two near the largest component.
 
+    The exponents come with them. Only bits below the range of doubles are lost.
+    """
+    exponent = np.frexp(np.abs(vectors).max(axis=axis, keepdims=True))[1]
+    return np.ldexp(vectors, -exponent), exponent
 
-_GRAPH = "shard int, place int, start int, edges array<int>, embedding array<double>, ids array<bigint>"
 
+def lifted(vectors: np.ndarray) -> tuple[np.ndarray, float]:
+    """Vectors with one more component, so that all have the largest length, and that length."""
+    squares = (vectors**2).sum(axis=1)
+    rest = np.sqrt(np.maximum(0.0, squares.max() - squares))
+    points = np.concatenate([vectors, rest[:, None]], axis=1).astype(np.float32)
+    return points, float(np.sqrt(squares.max()))
 
-def _graph_of(most: float):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("number", ignore_index=True)
-        edges, start = build(lifted(np.stack(rows["embedding"].to_numpy()), most))
-        return pd.DataFrame({
-            "shard": rows["shard"],
-            "place": np.arange(len(rows)),
-            "start": start,
-            "edges": list(edges.astype(np.int32)),
-            "embedding": rows["embedding"],
-            "ids": rows["ids"],
-        })
 
-    return run
+_GRAPH = "shard int, place int, start int, edges array<int>, embedding array<double>, ids array<bigint>"
+
 
+def _graph_of(key, rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("number", ignore_index=True)
+    edges, start = build(lifted(scaled(np.stack(rows["embedding"].to_numpy()))[0])[0])
+    return pd.DataFrame({
+        "shard": rows["shard"],
+        "place": np.arange(len(rows)),
+        "start": start,
+        "edges": list(edges.astype(np.int32)),
+        "embedding": rows["embedding"],
+        "ids": rows["ids"],
+    })
 
-def _searched(most: float, nearest: int):
+
+def _searched(nearest: int):
     def run(key, graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if graph.empty or queries.empty:
             return pd.DataFrame({"query_id": [], "score": [], "ids": []})
         graph = graph.sort_values("place", ignore_index=True)
-        vectors = np.stack(graph["embedding"].to_numpy())
-        points, edges = lifted(vectors, most), np.stack(graph["edges"].to_numpy()).astype(np.int64)
-        asked = np.stack(queries["embedding"].to_numpy())
+        vectors, exponent = scaled(np.stack(graph["embedding"].to_numpy()))
+        points, longest = lifted(vectors)
+        edges = np.stack(graph["edges"].to_numpy()).astype(np.int64)
+        asked, exponents = scaled(np.stack(queries["embedding"].to_numpy()), axis=1)
+        exponents = exponents + exponent
         names, members = queries["query_id"].to_numpy(), graph["ids"].to_numpy()
         # Directions decide, so queries are brought to the length of the points.
         length = np.sqrt((asked**2).sum(axis=1, keepdims=True))
-        flat = np.concatenate([asked / length * np.sqrt(most), np.zeros((len(asked), 1))], axis=1)
+        flat = np.concatenate([asked / length * longest, np.zeros((len(asked), 1))], axis=1)
         query_ids, scores, ids = [], [], []
         for first in range(0, len(asked), BATCH):
             part = slice(first, first + BATCH)
@@ -197,6 +209,7 @@ def _searched(most: float, nearest: int):
             exact = np.einsum("bcd,bd->bc", vectors[np.maximum(found, 0)], asked[part])
             exact[found < 0] = -np.inf
             best = np.argsort(-exact, axis=1, kind="stable")[:, : nearest + 1]
+            exact = np.ldexp(exact, exponents[part])
             for row, columns in enumerate(best):
                 for column in columns:
                     if found[row, column] >= 0:
@@ -238,6 +251,14 @@ def distinct_points(rows: DataFrame, copies: int) -> DataFrame:
     return thinned.groupBy("embedding").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
+def band_of(largest, embedding) -> Column:
+    """The power of two nearest to a vector's length, from its ``largest`` component."""
+    square = F.aggregate(
+        embedding, F.lit(0.0), lambda total, x: total + (x / F.col(largest)) * (x / F.col(largest))
+    )
+    return F.round(F.log2(largest) + 0.5 * F.log2(square)).cast("int")
+
+
 def nearest(
     vectors: DataFrame,
     is_query,
@@ -248,15 +269,26 @@ def nearest(
     """``query_id``, ``rank``, ``id`` and ``score`` of the ``count`` nearest rows found."""
     rows = materialize(usable(vectors, key, vector), "vectors")
     points = materialize(
-        distinct_points(rows, count + 1).withColumn("number", F.monotonically_increasing_id()), "points"
+        distinct_points(rows, count + 1)
+        .withColumn("number", F.monotonically_increasing_id())
+        .withColumn("largest", F.array_max(F.transform("embedding", F.abs))),
+        "points",
     )
-    square = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x)
-    total, most = points.agg(F.count(F.lit(1)), F.max(square)).first()
-    shards = max(-(-total // SHARD_ROWS), min(FEW_SHARDS, -(-total // FEW_ROWS)), 1)
-    most = float(most or 0.0)
-
-    sharded = points.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards)).cast("int"))
-    graph = materialize(sharded.groupBy("shard").applyInPandas(_graph_of(most), _GRAPH), "graph")
+    banded = points.withColumn("band", band_of("largest", "embedding"))
+    # One row a band; doubles have about two thousand at most.
+    first, dealt, shards = [], [], 0
+    for band, total in sorted(banded.groupBy("band").count().collect()):
+        own = max(-(-total // SHARD_ROWS), min(FEW_SHARDS, -(-total // FEW_ROWS)), 1)
+        first += [F.lit(band), F.lit(shards)]
+        dealt += [F.lit(band), F.lit(own)]
+        shards += own
+    if not shards:
+        first, dealt, shards = [F.lit(0)] * 2, [F.lit(0), F.lit(1)], 1
+
+    band = F.col("band")
+    place = F.pmod(F.xxhash64("number"), F.create_map(*dealt)[band])
+    sharded = banded.withColumn("shard", (F.create_map(*first)[band] + place).cast("int"))
+    graph = materialize(sharded.groupBy("shard").applyInPandas(_graph_of, _GRAPH), "graph")
     queries = rows.distinct().filter(is_query(F.col("id"))).withColumnRenamed("id", "query_id")
     blocks = max(1, -(-queries.count() // BLOCK_ROWS))
     asked = queries.select(
@@ -269,7 +301,7 @@ def nearest(
     found = (
         held.groupBy("shard", "block")
         .cogroup(asked.groupBy("shard", "block"))
-        .applyInPandas(_searched(most, count), "query_id bigint, score double, ids array<bigint>")
+        .applyInPandas(_searched(count), "query_id bigint, score double, ids array<bigint>")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
