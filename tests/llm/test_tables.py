@@ -174,6 +174,12 @@ def test_odd_vectors(spark):
     assert graph_search.nearest(frame.limit(0), lambda key: key % 20 == 0).collect() == []
 
 
+def test_shards_have_one_size_at_every_table_size():
+    for total in (1, 5000, 16_000, 51_282, 400_000, 10_000_000):
+        shards = graph_search.shards_of(total)
+        assert (shards - 1) * 5000 < total <= shards * 5000
+
+
 @pytest.mark.parametrize("length", [1e5, 3e38])
 def test_one_very_long_vector(spark, length):
     random = np.random.default_rng(8)

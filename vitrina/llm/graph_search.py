@@ -39,9 +39,8 @@ SEARCH_BEAM = 96
 #: Factor by which a kept neighbour must be closer to a candidate to prune it.
 RELAXED = 1.2
 BATCH = 512
-SHARD_ROWS = 50_000
-#: Shards that smaller tables are cut into, at least this many vectors each.
-FEW_SHARDS, FEW_ROWS = 8, 2000
+#: One size for tables of every size, so a search sees the same share of each shard.
+SHARD_ROWS = 5000
 BLOCK_ROWS = 20_000
 SALTS = 16
 
@@ -251,6 +250,11 @@ def distinct_points(rows: DataFrame, copies: int) -> DataFrame:
     return thinned.groupBy("embedding").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
+def shards_of(total: int) -> int:
+    """Shards for the vectors of a band."""
+    return -(-total // SHARD_ROWS)
+
+
 def band_of(largest, embedding) -> Column:
     """The power of two nearest to a vector's length, from its ``largest`` component."""
     square = F.aggregate(
@@ -278,7 +282,7 @@ def nearest(
     # One row a band; doubles have about two thousand at most.
     first, dealt, shards = [], [], 0
     for band, total in sorted(banded.groupBy("band").count().collect()):
-        own = max(-(-total // SHARD_ROWS), min(FEW_SHARDS, -(-total // FEW_ROWS)), 1)
+        own = shards_of(total)
         first += [F.lit(band), F.lit(shards)]
         dealt += [F.lit(band), F.lit(own)]
         shards += own
