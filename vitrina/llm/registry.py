@@ -7,6 +7,7 @@ from vitrina.llm.graph_search import op5_graph_search
 from vitrina.llm.license_scan import op2_license_scan
 from vitrina.llm.packing import op10_packing
 from vitrina.llm.pii import op3_pii
+from vitrina.llm.popcount_clusters import OP12_SQL, op12_popcount_clusters
 from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
 from vitrina.llm.shingle_join import op8_shingle_join
 from vitrina.llm.suffix_dedup import op6_suffix_dedup
@@ -24,9 +25,11 @@ LLM_QUERIES = {
     "op8_shingle_join": op8_shingle_join,
     "op9_url_cascade": op9_url_cascade,
     "op10_packing": op10_packing,
+    "op12_popcount_clusters": op12_popcount_clusters,
 }
 
 LLM_SQL = {
     "op1_quality_rules": OP1_SQL,
     "op9_url_cascade": OP9_SQL,
+    "op12_popcount_clusters": OP12_SQL,
 }
