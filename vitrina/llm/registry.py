@@ -5,6 +5,7 @@ from __future__ import annotations
 from vitrina.llm.byte_bpe import op7_byte_bpe
 from vitrina.llm.graph_search import op5_graph_search
 from vitrina.llm.license_scan import op2_license_scan
+from vitrina.llm.main_text import op13_main_text
 from vitrina.llm.packing import op10_packing
 from vitrina.llm.pii import op3_pii
 from vitrina.llm.popcount_clusters import OP12_SQL, op12_popcount_clusters
@@ -26,6 +27,7 @@ LLM_QUERIES = {
     "op9_url_cascade": op9_url_cascade,
     "op10_packing": op10_packing,
     "op12_popcount_clusters": op12_popcount_clusters,
+    "op13_main_text": op13_main_text,
 }
 
 LLM_SQL = {
