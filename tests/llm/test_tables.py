@@ -21,8 +21,8 @@ def test_query_equals_its_sql(spark, name):
     assert compare(spark, connect(SF), name, LLM_QUERIES[name], LLM_SQL[name], SF) is None
 
 
-def test_ten_queries():
-    assert [int(name[2:].split("_")[0]) for name in LLM_QUERIES] == list(range(1, 11))
+def test_queries_of_all_operators():
+    assert [int(name[2:].split("_")[0]) for name in LLM_QUERIES] == list(range(1, 14))
 
 
 LONG = "word " * 30_000 + "x" * 50_000

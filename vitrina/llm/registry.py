@@ -11,6 +11,7 @@ from vitrina.llm.pii import op3_pii
 from vitrina.llm.popcount_clusters import OP12_SQL, op12_popcount_clusters
 from vitrina.llm.quality_rules import OP1_SQL, op1_quality_rules
 from vitrina.llm.shingle_join import op8_shingle_join
+from vitrina.llm.spelling_variants import OP11_SQL, op11_spelling_variants
 from vitrina.llm.suffix_dedup import op6_suffix_dedup
 from vitrina.llm.toxicity import op4_toxicity
 from vitrina.llm.url_cascade import OP9_SQL, op9_url_cascade
@@ -26,6 +27,7 @@ LLM_QUERIES = {
     "op8_shingle_join": op8_shingle_join,
     "op9_url_cascade": op9_url_cascade,
     "op10_packing": op10_packing,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_popcount_clusters": op12_popcount_clusters,
     "op13_main_text": op13_main_text,
 }
@@ -33,5 +35,6 @@ LLM_QUERIES = {
 LLM_SQL = {
     "op1_quality_rules": OP1_SQL,
     "op9_url_cascade": OP9_SQL,
+    "op11_spelling_variants": OP11_SQL,
     "op12_popcount_clusters": OP12_SQL,
 }
