@@ -384,3 +384,63 @@ def test_redaction(spark):
     frame = spark.createDataFrame([("abcdefghij", spans), ("é", [])], "text string, s array<struct<kind:int,start:int,end:int>>")
     got = [row[0] for row in frame.select(pii.redact(F.col("text"), F.col("s"))).collect()]
     assert got == ["ab<email>g<phone>ij", "é"]
+
+
+def near_copies(count, words, seed):
+    """Texts around one base text, each with some words of its own: some pairs linked, some not."""
+    random_ = random.Random(seed)
+    base = [f"w{random_.randrange(500)}" for _ in range(words)]
+    made = []
+    for number in range(count):
+        own = list(base)
+        for _ in range(random_.choice([0, 1, 1, 2, 2, 3])):
+            own[random_.randrange(len(own))] = f"own{number % 7}"
+        made.append(" ".join(own[: random_.choice([words, words, words - 6])]))
+    return made
+
+
+@pytest.mark.parametrize("tile, shingles", [(1024, 1 << 21), (5, 1 << 21), (1024, 300)])
+def test_dense_groups_in_tiles(spark, monkeypatch, tile, shingles):
+    monkeypatch.setattr(shingle_join, "TILE", tile)
+    monkeypatch.setattr(shingle_join, "TILE_SHINGLES", shingles)
+    texts = near_copies(60, 60, 1) + near_copies(40, 25, 2) + near_copies(30, 9, 3)
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {row.id: (row.n_shingles, row.component_id) for row in shingle_join.groups(frame).collect()}
+    want = shingle_join.brute_force(rows)
+    assert got == want
+    assert 10 < len({component for _, component in want.values()}) < len(rows) - 10
+
+
+def test_partial_overlaps_sum_up(monkeypatch):
+    monkeypatch.setattr(shingle_join, "SPARSE", 3)
+    monkeypatch.setattr(shingle_join, "COLUMNS", 5)
+    random_ = np.random.default_rng(2)
+    sets = [np.unique(random_.integers(0, 1 << 63, size=40)[:5]).astype(np.uint64) for _ in range(3)]
+    shared = random_.integers(0, 1 << 63, size=60).astype(np.uint64)
+    sets += [np.unique(random_.choice(shared, size=40)) for _ in range(9)]
+    cut = [shingle_join.pieces_of(one) for one in sets]
+    assert all(np.array_equal(np.sort(np.concatenate(one)), two) for one, two in zip(cut, sets))
+    owners = [
+        np.concatenate([np.full(len(one[f]), number) for number, one in enumerate(cut)])
+        for f in range(shingle_join.FRAGMENTS)
+    ]
+    tokens = [np.concatenate([one[f] for one in cut]) for f in range(shingle_join.FRAGMENTS)]
+    got = shingle_join.overlaps(owners, tokens, len(sets))
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            assert got[a, b] == len(np.intersect1d(sets[a], sets[b]))
+
+
+def test_one_of_each_group_without_and_with_repeated_ids(spark):
+    copy = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [
+        (3, copy), (None, copy), (None, copy + " "), (8, copy), (3, copy), (3, "another text under the id three"),
+        (None, "only here and without any id"), (5, ""), (5, ""), (None, None), (9, "another text under the id three"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS h", "1 AS node")
+    kept = [(row.doc_id, row.text) for row in shingle_join.one_of_each_group(frame).collect()]
+    assert sorted(kept, key=str) == sorted([
+        (3, copy), (3, "another text under the id three"), (None, "only here and without any id"),
+        (5, ""), (5, ""), (None, None),
+    ], key=str)

@@ -2,26 +2,31 @@
 
 Every document is the set of its distinct shingles. All sets follow one global order: a part
 of the shingles, sampled by hash, comes first, rarer ones before, and the others follow by
-hash.
+hash. The order is cut into ``FRAGMENTS`` intervals, the sampled part and ranges of the rest,
+and every set at the same places. Overlaps are counted fragment by fragment and summed per pair.
 
 1. Documents with equal sets are one node. A linked pair shares one of the first shingles of
    both (the prefix filter). The sampled shingles are counted over all documents; a node
    whose prefix holds only shingles of its own can have no link, and goes no further.
-2. The hash range is cut into fragments, and the sets of the nodes left at the same places.
-   Fragment after fragment, all their shingles are counted. How many of a node's are its own
-   bounds every overlap it can have; nodes and pairs that cannot reach a link go. What is left
-   are the near copies. Partial overlaps of a pair are counted per fragment, and their sum
-   decides.
+2. Fragment after fragment, all shingles of the nodes left are counted. How many of a node's are
+   its own bounds every overlap it can have; nodes and pairs that cannot reach a link go. What
+   is left are the near copies.
 3. In a group of many near copies not every pair is needed to know that it hangs together.
-   First each node is compared to two nodes of each shingle it meets others at, then in a few
-   rounds to one of another component. Pairs that are not yet connected after that, and only
-   those, are compared exhaustively.
-4. Components grow by taking the smallest number of all neighbours and of their roots, on
+   First each node is compared to two representatives of each shingle it meets others at. A row
+   per pair and fragment holds the partial overlap, a grouping sums them, and linked nodes get
+   one label.
+4. What is left are shingles at which different labels meet. Labels that meet, directly or
+   through others, are a block, and the nodes of a block are compared exactly without listing
+   their pairs: a block is cut into tiles by size class and hash, two tiles meet in one task, and
+   there the partial overlaps of all their pairs are matrices, one a fragment, that add up.
+   Sizes that differ by more than a class cannot be linked and never meet. A task sends back
+   only as many links as join labels, fewer than it has nodes.
+5. Components grow by taking the smallest number of all neighbours and of their roots, on
    tables in the shared folder.
 
 Meetings at one shingle are dealt over ``SALTS`` tasks, and the smallest nodes of those meet
 in a second step, so a shingle of a third of all documents is no task's load alone. Counts
-combine before they are shuffled.
+combine before they are shuffled. 64-bit hashes stand for shingles.
 
 Defined cases: NULL and empty texts have an empty set and no links; with fewer than
 ``WORDS`` words the whole sequence is the only shingle; repeated rows have links like other
@@ -41,7 +46,6 @@ from pyspark.sql import functions as F
 
 from vitrina.llm.tables import discard, id_and_text, row_and_text, table, written
 from vitrina.llm.url_cascade import Level, filter_of
-from vitrina.operators.compare import union_all
 
 WORDS = 5
 PERCENT = 80
@@ -51,8 +55,13 @@ TOGETHER = 2
 SALTS = 16
 #: Tenths of all shingles, by hash, that come first in the global order and are counted.
 SAMPLED = 3
-#: Rounds in which each node is compared to one drawn node at each of its shingles.
-TURNS = 1
+#: Nodes, and shingles, of which a tile has about so many at most.
+TILE = 1024
+TILE_SHINGLES = 1 << 21
+#: Shingles of a tile with more nodes than this are counted by matrix products.
+SPARSE = 16
+#: Shingles in one such product.
+COLUMNS = 2048
 #: Bits of the filter over texts with candidates.
 FILTER_BITS = 1 << 22
 CACHED = 1 << 18
@@ -136,12 +145,20 @@ def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def pieces_of(tokens: np.ndarray) -> list[np.ndarray]:
+    """A set cut at fixed places of the global order: the sampled part, then ranges of the rest."""
+    rest = FRAGMENTS - 1
+    cuts = np.arange(1, rest, dtype=np.uint64) * np.uint64((1 << 64) // rest)
+    chosen = tokens % np.uint64(10) < SAMPLED
+    others = tokens[~chosen]
+    return [tokens[chosen], *np.split(others, np.searchsorted(others, cuts))]
+
+
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The whole set of each text, cut into fragments of the hash range."""
-    cuts = np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)
+    """The whole set of each text, cut into fragments."""
     for _, sets in _texts(batches):
         keys = [xxhash.xxh3_128_digest(one.tobytes()) for one in sets]
-        pieces = [piece for one in sets for piece in np.split(one, np.searchsorted(one, cuts))]
+        pieces = [piece for one in sets for piece in pieces_of(one)]
         ends = pa.array(range(0, len(pieces) + 1, FRAGMENTS), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys, pa.binary()), pa.ListArray.from_arrays(ends, _lists(pieces))],
@@ -188,64 +205,164 @@ def _first_pairs(meetings: DataFrame) -> DataFrame:
     )
 
 
-def _next_pairs(meetings: DataFrame, labels: DataFrame, seen: DataFrame, turn: int) -> DataFrame:
-    """Each node with one node of another component at each of its shingles, drawn by hash."""
-    named = meetings.join(labels, "node")
-    drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n", "own", "label")
-    heads = named.groupBy("token").agg(F.min(drawn).alias("head"))
-    return (
-        named.join(heads, "token")
-        .filter(F.col("label") != F.col("head.label"))
-        .filter(_fitting(F.struct("n", "own"), F.col("head")))
-        .select(
-            F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")
-        )
-        .distinct()
-        .join(seen, ["a", "b"], "left_anti")
+def _linked(pairs: DataFrame, fragments: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs whose partial overlaps, counted per fragment, sum up to a link."""
+    pieces = fragments.select("node", F.posexplode("fragments").alias("fragment", "piece"))
+    one = pieces.select(F.col("node").alias("a"), "fragment", F.col("piece").alias("of_a"))
+    other = pieces.select(F.col("node").alias("b"), "fragment", F.col("piece").alias("of_b"))
+    partial = (
+        pairs.join(one, "a")
+        .join(other, ["b", "fragment"])
+        .select("a", "b", F.size(F.array_intersect("of_a", "of_b")).cast("long").alias("partial"))
     )
+    overlaps = partial.groupBy("a", "b").agg(F.sum("partial").alias("overlap"))
+    sized = overlaps.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(
+        sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b"
+    )
+    union = F.col("n_a") + F.col("n_b") - F.col("overlap")
+    return sized.filter(100 * F.col("overlap") >= PERCENT * union).select("a", "b")
 
 
-def _open_pairs(meetings: DataFrame, labels: DataFrame, seen: DataFrame) -> DataFrame:
-    """Pairs that meet at a shingle, fit in size, and are neither connected nor compared."""
+def overlaps(owners: list[np.ndarray], tokens: list[np.ndarray], count: int) -> np.ndarray:
+    """The overlap of all pairs of ``count`` sets, from the shingles of each fragment and their sets.
+
+    Partial overlaps of a fragment are counted pair by pair at shingles of few sets, and by
+    products of indicator matrices at the others; the fragments' counts add up.
+    """
+    total = np.zeros((count, count), dtype=np.float32)
+    for owner, token in zip(owners, tokens):
+        order = np.lexsort((owner, token))
+        owner, token = owner[order], token[order]
+        starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else token
+        lengths = np.diff(np.append(starts, len(token)))
+        for length in np.unique(lengths[(lengths > 1) & (lengths <= SPARSE)]).tolist():
+            rows = owner[starts[lengths == length][:, None] + np.arange(length)]
+            for a in range(length):
+                for b in range(a + 1, length):
+                    np.add.at(total, (rows[:, a], rows[:, b]), 1)
+        large = np.flatnonzero(lengths > SPARSE)
+        for first in range(0, len(large), COLUMNS):
+            part = large[first : first + COLUMNS]
+            held = np.zeros((count, len(part)), dtype=np.float32)
+            for column, number in enumerate(part.tolist()):
+                held[owner[starts[number] : starts[number] + lengths[number]], column] = 1
+            total += np.triu(held @ held.T, 1)
+    return total
+
+
+def joining_links(overlap: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> list[tuple[int, int]]:
+    """Links between labels, as few as show which labels hang together."""
+    union = sizes[:, None] + sizes[None, :] - overlap
+    linked = (100 * overlap >= PERCENT * union) & (overlap > 0) & (labels[:, None] != labels[None, :])
+    one, other = np.nonzero(linked)
+    pairs = np.unique(np.sort(np.stack([labels[one], labels[other]], axis=1), axis=1), axis=0)
+    root: dict[int, int] = {}
+
+    def find(label: int) -> int:
+        while root.setdefault(label, label) != label:
+            root[label] = root[root[label]]
+            label = root[label]
+        return label
+
+    joined = []
+    for a, b in pairs.tolist():
+        x, y = find(a), find(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            joined.append((a, b))
+    return joined
+
+
+def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between labels inside each pair of tiles; rows are sorted by ``block, low, high``."""
+    last, labels, sizes = None, [], []
+    owners: list[list[np.ndarray]] = [[] for _ in range(FRAGMENTS)]
+    tokens: list[list[np.ndarray]] = [[] for _ in range(FRAGMENTS)]
+
+    def links() -> pa.RecordBatch | None:
+        told = np.array(labels, dtype=np.int64)
+        if len(told) < 2 or (told == told[0]).all():
+            return None
+        counted = overlaps([*map(np.concatenate, owners)], [*map(np.concatenate, tokens)], len(told))
+        found = joining_links(counted, np.array(sizes, dtype=np.int64), told)
+        pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    for batch in batches:
+        pieces = batch.column(5)
+        for row, key in enumerate(zip(*(batch.column(at).to_pylist() for at in range(3)))):
+            if key != last:
+                if (found := links()) is not None:
+                    yield found
+                last, labels, sizes = key, [], []
+                owners = [[] for _ in range(FRAGMENTS)]
+                tokens = [[] for _ in range(FRAGMENTS)]
+            for fragment, piece in enumerate(pieces[row].values):
+                values = piece.values.to_numpy(zero_copy_only=False)
+                owners[fragment].append(np.full(len(values), len(labels), dtype=np.int64))
+                tokens[fragment].append(values)
+            labels.append(batch.column(3)[row].as_py())
+            sizes.append(batch.column(4)[row].as_py())
+    if (found := links()) is not None:
+        yield found
+
+
+def _tiles(nodes: DataFrame) -> DataFrame:
+    """``node, label, n, block`` with the pairs of tiles ``low`` and ``high`` each node takes part in.
+
+    A block of one tile's size is one tile. Others are cut by size class, a linked pair being in
+    one class or in neighbouring ones, and inside a class by hash.
+    """
+    ratio = F.lit(100 / PERCENT)
+    whole = nodes.groupBy("block").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("shingles"))
+    small = (F.col("nodes") <= TILE) & (F.col("shingles") <= TILE_SHINGLES)
+    classed = nodes.join(whole.select("block", small.alias("small")), "block").withColumn(
+        "class", F.when(F.col("small"), 0).otherwise(F.floor(F.log(F.col("n")) / F.log(ratio))).cast("int")
+    )
+    parts = classed.groupBy("block", "class").agg(
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum("n") / TILE_SHINGLES)
+        ).cast("int").alias("parts")
+    )
+    own = classed.join(parts, ["block", "class"]).withColumn(
+        "tile", F.struct("class", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    )
+    # Floating point may put a pair at the very limit of a class one further away.
+    met = parts.select(
+        "block", F.col("parts").alias("others"), F.explode(F.expr("sequence(class - 2, class + 2)")).alias("class"),
+        F.col("class").alias("other_class"),
+    )
+    dealt = own.join(met, ["block", "class"]).select(
+        "block", "node", "label", "n", "tile", "other_class",
+        F.explode(F.expr("sequence(0, others - 1)")).alias("other_part"),
+    )
+    other = F.struct(F.col("other_class").alias("class"), F.col("other_part").alias("part"))
+    return dealt.select(
+        "block", F.least("tile", other).alias("low"), F.greatest("tile", other).alias("high"),
+        "node", "label", "n",
+    )
+
+
+def _left_links(meetings: DataFrame, labels: DataFrame, fragments: DataFrame) -> DataFrame:
+    """Links between the labels that meet at a shingle, as few as join what hangs together."""
     named = meetings.join(labels, "node")
     mixed = (
         named.groupBy("token")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .filter("low <> high")
     )
-    left = named.join(mixed.select("token"), "token", "left_semi")
-    right = left.select(
-        "token",
-        F.col("node").alias("b"),
-        F.struct("n", "own").alias("size_b"),
-        F.col("label").alias("label_b"),
-    )
-    return (
-        left.select("token", F.col("node").alias("a"), F.struct("n", "own").alias("size_a"), "label")
-        .join(right, "token")
-        .filter((F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")))
-        .filter(_fitting(F.col("size_a"), F.col("size_b")))
-        .select("a", "b")
-        .distinct()
-        .join(seen, ["a", "b"], "left_anti")
-    )
-
-
-def _linked(pairs: DataFrame, fragments: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs whose partial overlaps sum up to a link."""
-    one = fragments.select(F.col("node").alias("a"), F.col("fragments").alias("of_a"))
-    other = fragments.select(F.col("node").alias("b"), F.col("fragments").alias("of_b"))
-    partial = F.zip_with("of_a", "of_b", lambda x, y: F.size(F.array_intersect(x, y)))
-    overlaps = (
-        pairs.join(one, "a")
-        .join(other, "b")
-        .select("a", "b", F.aggregate(partial, F.lit(0), lambda total, x: total + x).alias("overlap"))
-    )
-    sized = overlaps.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(
-        sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b"
+    open_ = written(
+        named.join(mixed.select("token", "low"), "token").groupBy("node", "label", "n").agg(
+            F.collect_set("low").alias("lows")
+        ),
+        "open",
     )
-    union = F.col("n_a") + F.col("n_b") - F.col("overlap")
-    return sized.filter(100 * F.col("overlap") >= PERCENT * union).select("a", "b")
+    edges = open_.select(F.col("label").alias("a"), F.explode("lows").alias("b")).filter("a <> b").distinct()
+    blocks = components(edges).select(F.col("node").alias("label"), F.col("label").alias("block"))
+    tiled = _tiles(open_.select("node", "label", "n").join(blocks, "label"))
+    key = ["block", "low", "high"]
+    rows = tiled.join(fragments, "node").select(*key, "label", "n", "fragments")
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_tile_links, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -358,7 +475,11 @@ def _meetings(rows: DataFrame, left: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id``, ``n_shingles`` and ``component_id`` of every document."""
+    """``id``, ``n_shingles`` and ``component_id`` of every document.
+
+    Also its ``group``, NULL without shingles, a number ``node`` of its own, and ``h``, a hash of
+    its text.
+    """
     texts = id_and_text(docs, key, text)
     id_type = texts.schema["id"].dataType.simpleString()
     sets = written(
@@ -406,26 +527,18 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     first = written(_first_pairs(meetings), "pairs")
     links = written(_linked(first, fragments, sizes), "links")
+    discard(first)
 
     def labelled(found: DataFrame) -> DataFrame:
         return sizes.select("node").join(components(found), "node", "left").select(
             "node", F.coalesce("label", "node").alias("label")
         )
 
-    compared, found = [first], [links]
-    labels = labelled(links)
-    for turn in range(TURNS + 1):
-        seen, last = union_all(compared), turn == TURNS
-        more = written(
-            _open_pairs(meetings, labels, seen)
-            if last
-            else _next_pairs(meetings, labels, seen, turn),
-            "pairs",
-        )
-        compared.append(more)
-        found.append(written(_linked(more, fragments, sizes), "links"))
-        if not found[-1].isEmpty():
-            labels = labelled(union_all(found))
+    labels = written(labelled(links), "labelled")
+    more = written(_left_links(meetings, labels, fragments), "links")
+    if not more.isEmpty():
+        # Labels are nodes, and joined by links between their nodes.
+        labels = labelled(links.unionByName(more))
     # The smallest id of a component, over the smallest ids of its nodes.
     named = nodes.join(labels, "node")
     smallest = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
@@ -433,10 +546,12 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         named.join(smallest, "label").select("key", "component_id", F.col("label").alias("group")),
         "components",
     )
-    for table_ in (meetings, fragments, *compared, *found):
+    for table_ in (meetings, fragments, links, more):
         discard(table_)
     return rows.join(by_key, "key", "left").select(
         "id",
+        "h",
+        "node",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
         "group",
@@ -444,19 +559,24 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of smallest id of each group, and all documents without shingles.
+    """One document of each group, that of smallest id, NULL last; all documents without shingles.
 
-    Rows that share that id and the text stay together only once.
+    Rows of a group that have the chosen id and text stay only once; of several texts under the
+    chosen id the one whose row was numbered first stays.
     """
-    judged = groups(docs, key, text)
-    kept = (
-        judged.filter("group IS NULL OR id IS NULL OR id = component_id")
-        .groupBy("id")
-        .agg(F.first("component_id").alias("component_id"))
+    judged = written(groups(docs, key, text).select("id", "h", "node", "group"), "judged")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "node", "h")
+    chosen = judged.filter("group IS NOT NULL").groupBy("group").agg(F.min(order).alias("first"))
+    kept = chosen.select("first.id", "first.h", F.lit(True).alias("once")).unionByName(
+        judged.filter("group IS NULL").select("id", "h", F.lit(False).alias("once")).distinct()
+    )
+    numbered = row_and_text(docs, text).select(
+        "row", F.col(f"row.{key}").alias("own_id"), F.xxhash64("text").alias("own_h")
     )
-    numbered = row_and_text(docs, text).select("row", F.col(f"row.{key}").alias("id"), "text")
-    stay = numbered.join(kept.select("id"), numbered["id"].eqNullSafe(kept["id"]), "left_semi")
-    return stay.select("row.*").dropDuplicates([key, text])
+    same = numbered["own_id"].eqNullSafe(kept["id"]) & (numbered["own_h"] == kept["h"])
+    stay = numbered.join(kept, same)
+    once = stay.filter("once").dropDuplicates(["own_id", "own_h"])
+    return stay.filter("NOT once").unionByName(once).select("row.*")
 
 
 def op8_shingle_join(spark, sf_dir) -> DataFrame:

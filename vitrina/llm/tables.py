@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,16 +30,19 @@ def id_and_text(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder; what only its plan needed is let go.
+#: Spark then deletes the shuffle files of a job as soon as the job has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    Spark deletes shuffle files of plans that the driver's JVM has collected, which it does
-    seldom by itself, so a job of many steps would keep the files of all of them.
-    """
-    out = materialize(df, label)
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
-    return out
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder; the shuffle files of its job go with the job."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def discard(df: DataFrame) -> None:
