@@ -198,41 +198,100 @@ def test_one_very_long_vector(spark, length):
     assert np.mean([len(found[key] & set(ids)) / len(ids) for key, ids in want.items()]) >= 0.9
 
 
-def test_pipeline_stages(spark, tmp_path):
-    docs, sizes, names = spark.read.parquet(f"{SF}/documents.parquet"), [], []
-    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        before = docs
-        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{number}")
-        docs = spark.read.parquet(f"{tmp_path}/{number}")
-        if number < 4:
-            assert docs.columns == list(corpus_pipeline.COLUMNS)
-        sizes.append(docs.count())
-        names.append(name)
-        rows = {row.doc_id: row.text or "" for row in before.collect()} if number < 4 else {}
-        after = {row.doc_id: row for row in docs.collect()} if number < 4 else {}
-        if name == "quality_rules":
-            kept = LLM_QUERIES["op1_quality_rules"](spark, SF).filter("kept").select("doc_id").collect()
-            assert set(after) == {row.doc_id for row in kept}
-        if name == "shingle_join":
-            want = shingle_join.brute_force(list(rows.items()))
-            assert set(after) == {component for _, component in want.values()}
-        if name == "suffix_dedup":
-            keys = list(rows)
-            for key, (size, gone, _, _) in zip(keys, suffix_dedup.brute_force([rows[k] for k in keys])):
-                assert (key in after) == (gone == 0 or gone < size)
-                if gone == 0:
-                    assert after[key].text == rows[key]
-                elif key in after:
-                    left = len(after[key].text.encode())
-                    assert size - gone - 6 * 10 <= left <= size - gone
-        if name == "pii":
-            for key, row in after.items():
-                assert not [one for one in pii.base_spans(row.text) if one[0] == 0]
-                if not pii.base_spans(rows[key]) and "token" not in rows[key]:
-                    assert row.text == rows[key]
-                assert row.n_chars == len(row.text)
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """The documents before and after each stage; ``after[k]`` is ``before[k + 1]``."""
+    folder = tmp_path_factory.mktemp("stages")
+    docs, tables = spark.read.parquet(f"{SF}/documents.parquet"), []
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        tables.append(docs)
+        stage(spark, docs, SF).write.parquet(f"{folder}/{number}")
+        docs = spark.read.parquet(f"{folder}/{number}")
+    return [*tables, docs]
+
+
+def stage_rows(stages, number):
+    before = {row.doc_id: row.text or "" for row in stages[number].collect()}
+    assert stages[number + 1].columns == list(corpus_pipeline.COLUMNS)
+    return before, {row.doc_id: row for row in stages[number + 1].collect()}
+
+
+def test_names_of_stages():
+    names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "shingle_join", "suffix_dedup", "pii", "packing"]
-    assert sizes[-1] >= sizes[-2]
+
+
+def test_stage_quality_rules(spark, stages):
+    # A filter on top would have Spark work out the whole ledger a second time to filter by it.
+    judged = LLM_QUERIES["op1_quality_rules"](spark, SF).collect()
+    assert set(stage_rows(stages, 0)[1]) == {row.doc_id for row in judged if row.kept}
+
+
+def test_stage_shingle_join(stages):
+    rows, after = stage_rows(stages, 1)
+    want = shingle_join.brute_force(list(rows.items()))
+    assert set(after) == {component for _, component in want.values()}
+
+
+def test_stage_suffix_dedup(stages):
+    rows, after = stage_rows(stages, 2)
+    keys = list(rows)
+    for key, (size, gone, _, _) in zip(keys, suffix_dedup.brute_force([rows[k] for k in keys])):
+        assert (key in after) == (gone == 0 or gone < size)
+        if gone == 0:
+            assert after[key].text == rows[key]
+        elif key in after:
+            left = len(after[key].text.encode())
+            assert size - gone - 6 * 10 <= left <= size - gone
+
+
+def test_stage_pii(stages):
+    rows, after = stage_rows(stages, 3)
+    assert set(after) == set(rows)
+    for key, row in after.items():
+        assert not [one for one in pii.base_spans(row.text) if one[0] == 0]
+        if not pii.base_spans(rows[key]) and "token" not in rows[key]:
+            assert row.text == rows[key]
+        assert row.n_chars == len(row.text)
+
+
+def test_stage_packing(stages):
+    rows = {row.doc_id for row in stages[4].select("doc_id").collect()}
+    pieces = stages[5].collect()
+    assert {row.doc_id for row in pieces} == rows
+    for key in rows:
+        own = sorted((row.start, row.length) for row in pieces if row.doc_id == key)
+        assert [start for start, _ in own] == np.cumsum([0, *(length for _, length in own)])[:-1].tolist()
+
+
+#: Rows that no stage may fail on: NULL ids and texts, empty and long texts, repeated rows.
+STAGE_EDGES = [
+    (1, None, "en", "web", None), (None, "no id " * 30, None, None, 5), (3, "", "en", "web", 0),
+    (4, "word and more " * 300, "en", "web", 1), (4, "word and more " * 300, "en", "web", 1), (5, " \n ", "", "", 3),
+]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_edge_rows_and_empty_tables(spark, name, stage):
+    frame = spark.createDataFrame(
+        STAGE_EDGES, "doc_id long, text string, lang string, source string, n_chars long"
+    ).selectExpr("*", *(f"'{clash}' AS {clash}" for clash in CLASHES))
+    rows = stage(spark, frame, SF).collect()
+    texts = {(row[0], row[1]) for row in STAGE_EDGES}
+    if name == "quality_rules":
+        assert {(row.doc_id, row.text) for row in rows} <= texts
+    elif name == "shingle_join":
+        got = sorted(((row.doc_id, row.text) for row in rows), key=str)
+        assert got == sorted([*(row[:2] for row in STAGE_EDGES[:4]), STAGE_EDGES[5][:2]], key=str)
+    elif name == "pii":
+        assert sorted(str((row.doc_id, row.text)) for row in rows) == sorted(
+            str((key, text or "")) if text else str((key, text)) for key, text, *_ in STAGE_EDGES
+        )
+    elif name == "packing":
+        assert sum(row.start == 0 for row in rows) == len(STAGE_EDGES)
+    else:
+        assert {row.doc_id for row in rows} >= {None}
+    assert stage(spark, frame.limit(0), SF).collect() == []
 
 
 def test_cut_characters_cost_only_themselves(spark):
