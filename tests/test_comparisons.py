@@ -99,3 +99,23 @@ def test_csv_that_ends_inside_quotes_fails_and_is_named(spark, tmp_path):
     (tmp_path / "cut.csv").write_text('id,name\n1,a\n2,"b\n3,c\n')
     with pytest.raises(Exception, match="cut.csv"):
         read_csv_split(spark, str(tmp_path / "cut.csv")).collect()
+
+
+def test_a_missing_row_is_one_issue_and_moves_no_other(spark):
+    from vitrina.operators.compare import compare_aligned
+
+    schema = "t string, u string, n double"
+    rows = [("a", None, float(number)) for number in range(50)] + [(None, "x", float("nan"))] * 3
+    left = spark.createDataFrame(rows, schema)
+    assert compare_aligned(left, left.orderBy(F.desc("n"))).isEmpty()
+    right = spark.createDataFrame([*rows[1:], ("b", "", 1.0)], schema)
+    found = sorted(map(tuple, compare_aligned(left, right).collect()), key=str)
+    assert found == [
+        ("a", None, 0, "falta", None, "0.0", None), ("b", "", 0, "sobra", None, None, "1.0"),
+    ]
+    moved = left.withColumn("n", F.when(F.col("n") == 7, 7.5).otherwise(F.col("n") + 1e-9))
+    found = [tuple(row) for row in compare_aligned(left, moved).collect()]
+    assert found == [("a", None, 7, "valor", "n", "7.0", "7.5")]
+    short = compare_aligned(left, left.limit(51)).filter("problema = 'filas'").first()
+    assert (short.referencia, short.candidato) == ("53", "51")
+    assert compare_aligned(left.limit(0), left.limit(0)).isEmpty()

@@ -30,8 +30,11 @@ def test_csv_and_parquet_round_trip_clean_alike(spark, tmp_path):
     raw.write.option("header", True).option("escape", '"').csv(str(tmp_path / "csv"))
     from_csv = clean_catalog(readers.read_csv(spark, str(tmp_path / "csv")), ORDER_SPEC)
     writers.write_catalog(orders_clean(spark, SF), str(tmp_path / "parquet"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     stored = readers.read_parquet(spark, str(tmp_path / "parquet"), split_bytes=1 << 20)
-    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    small = readers.read_parquet(spark, str(tmp_path / "parquet"), split_bytes=1 << 12)
+    assert small.rdd.getNumPartitions() > stored.rdd.getNumPartitions()
     assert same_rows(from_csv, stored)
     assert any("zstd" in path for path in stored.inputFiles())
 

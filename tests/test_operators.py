@@ -7,6 +7,33 @@ from pyspark.sql import functions as F
 from vitrina.operators import compare, duplicates, ordinals, profile, quantiles, rows, timings, words
 
 
+def test_no_task_ranks_more_than_a_fixed_number_of_values(spark):
+    values = spark.range(10_000_000).selectExpr("'hot' AS grp", "id * 7919 % 10000019 AS val", "1L AS freq")
+    few = spark.range(10).selectExpr("'cold' AS grp", "id AS val", "id + 1 AS freq")
+    counts = values.unionByName(few)
+    ranges = {row.grp: row for row in quantiles.median_ranges(counts).collect()}
+    assert ranges["cold"]["values"] == 10
+    assert 0 < ranges["hot"]["values"] <= quantiles.RANKED
+    got = {row.grp: row["median"] for row in quantiles.split_median(counts).collect()}
+    kept = sorted(number * 7919 % 10000019 for number in range(10_000_000))
+    assert got == {"hot": (kept[4_999_999] + kept[5_000_000]) / 2, "cold": 6.0}
+
+
+@pytest.mark.parametrize("most", [1, 2, 5])
+def test_median_after_many_rounds(spark, most):
+    rows = [("a", float(i * i % 101), i % 3 + 1) for i in range(300)] + [("b", 1.0, 4), ("c", float("inf"), 1)]
+    counts = spark.createDataFrame(rows, "grp string, val double, freq long").groupBy("grp", "val").agg(
+        F.sum("freq").alias("freq")
+    )
+    want = {}
+    for name in "abc":
+        spread = sorted(value for grp, value, times in rows if grp == name for _ in range(times))
+        want[name] = (spread[(len(spread) - 1) // 2] + spread[len(spread) // 2]) / 2
+    # Two values may hold the middle, so fewer than two cannot be asked for.
+    got = quantiles.split_median(counts, 4, max(2, most))
+    assert {row.grp: row["median"] for row in got.collect()} == want
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(

@@ -7,15 +7,15 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.operators.compare import typed_result, union_all
+from vitrina.operators.compare import suite_summary, typed_result, union_all
 from vitrina.operators.profile import null_profile
 from vitrina.operators.rows import create, delete, next_id, snapshot, stage_summary, update
-from vitrina.operators.timings import report_seconds, timing_rollup
+from vitrina.operators.timings import engine_times, report_seconds, timing_rollup
 from vitrina.operators.words import word_length_stats
 from vitrina.plans import inspection, profiling, validation
 from vitrina.plans.cleaning import clean_catalog
-from vitrina.plans.suite import compare_suites, summarize_suites, write_suite
-from vitrina.session import build_session
+from vitrina.plans.suite import compare_suites, suite_issues, write_suite
+from vitrina.session import build_session, materialize
 from vitrina.sources.csv_records import read_csv_split
 from vitrina.sources.readers import first_rows, read_csv, read_parquet, read_result
 from vitrina.sources.writers import write_catalog, write_report
@@ -29,8 +29,15 @@ def load(spark: SparkSession, path: str, split: bool = False) -> DataFrame:
     return read_csv_split(spark, path) if split else read_csv(spark, path)
 
 
-def show(df: DataFrame, rows: int = 100) -> None:
+def report(df: DataFrame, args: argparse.Namespace, name: str, rows: int = 100) -> None:
+    """Prints the first rows and how many there are besides; with ``--output`` writes them all as Parquet."""
+    df = materialize(df, f"report-{name}")
     df.show(rows, truncate=False)
+    more = df.count() - rows
+    if more > 0:
+        print(f"{name}: {more} more rows are not shown, --output writes all")
+    if args.output:
+        write_catalog(df, f"{args.output}/{name}", "overwrite")
 
 
 def run_clean(spark, args, spec):
@@ -39,52 +46,53 @@ def run_clean(spark, args, spec):
 
 def run_inspect(spark, args, spec):
     df = load(spark, args.input, args.split_csv)
-    show(inspection.inspect_table(df))
-    show(null_profile(df))
-    show(first_rows(df, spec.key, 5))
+    report(inspection.inspect_table(df), args, "columns")
+    report(null_profile(df), args, "nulls")
+    report(first_rows(df, spec.key, 5), args, "first")
 
 
 def run_profile(spark, args, spec):
     raw = load(spark, args.input, args.split_csv)
-    show(profiling.duplicate_profile(raw, [spec.key, "slug"]))
-    show(profiling.missing_profile(raw))
-    show(profiling.numeric_validity(raw, spec))
-    show(profiling.date_validity(raw, spec))
+    report(profiling.duplicate_profile(raw, [spec.key, "slug"]), args, "duplicates")
+    report(profiling.missing_profile(raw), args, "missing")
+    report(profiling.numeric_validity(raw, spec), args, "numbers")
+    report(profiling.date_validity(raw, spec), args, "dates")
 
 
 def run_values(spark, args, spec):
     raw = load(spark, args.input, args.split_csv)
-    show(inspection.sample_values(raw))
-    show(inspection.numeric_describe(raw, spec))
-    show(inspection.date_range(raw, spec))
-    show(inspection.flag_frequency(raw))
+    report(inspection.sample_values(raw), args, "samples")
+    report(inspection.numeric_describe(raw, spec), args, "numbers")
+    report(inspection.date_range(raw, spec), args, "dates")
+    report(inspection.flag_frequency(raw), args, "flags")
 
 
 def run_validate(spark, args, spec):
     clean = read_parquet(spark, args.input)
     checks = validation.validate_catalog(clean, spec)
-    show(checks)
-    show(validation.value_ranges(clean, spec))
-    show(null_profile(clean))
+    report(checks, args, "checks")
+    report(validation.value_ranges(clean, spec), args, "ranges")
+    report(null_profile(clean), args, "nulls")
     validation.require(checks)
 
 
 def run_audit(spark, args, spec):
-    show(validation.audit_catalog(read_parquet(spark, args.input), spec))
+    report(validation.audit_catalog(read_parquet(spark, args.input), spec), args, "audit")
 
 
 def run_gate(spark, args, spec):
     checks = validation.health_gate(read_parquet(spark, args.input), spec)
-    show(checks)
+    report(checks, args, "checks")
     validation.require(checks)
 
 
 def run_collisions(spark, args, spec):
     clean = read_parquet(spark, args.input)
-    show(clean.filter(F.col("slug").isNull()).select(spec.key, *LITERAL_COLUMNS))
-    show(inspection.slug_collisions(clean, spec))
+    report(clean.filter(F.col("slug").isNull()).select(spec.key, *LITERAL_COLUMNS), args, "without_slug")
+    report(inspection.slug_collisions(clean, spec), args, "collisions")
     if args.raw:
-        show(inspection.rows_without_slug(clean, load(spark, args.raw, args.split_csv), spec))
+        raw = load(spark, args.raw, args.split_csv)
+        report(inspection.rows_without_slug(clean, raw, spec), args, "raw_rows")
 
 
 def run_queries(spark, args, spec):
@@ -93,8 +101,11 @@ def run_queries(spark, args, spec):
 
 def run_compare(spark, args, spec):
     engines = dict(item.split("=", 1) for item in args.engines)
-    show(compare_suites(spark, args.input, engines).orderBy("motor", "query_id"))
-    show(summarize_suites(spark, args.input, engines))
+    outcomes = compare_suites(spark, args.input, engines, spec=spec)
+    report(outcomes.orderBy("motor", "query_id"), args, "queries")
+    issues = suite_issues(spark, args.input, engines, spec=spec)
+    report(issues.orderBy("motor", "query_id", "columna"), args, "issues")
+    report(suite_summary(outcomes), args, "summary")
 
 
 def run_changes(spark, args, spec):
@@ -119,24 +130,41 @@ def run_changes(spark, args, spec):
     summary = [stage_summary(df, name, free, spec.key) for name, df in stages.items()]
     summary = union_all(summary).orderBy("etapa")
     write_report(summary, f"{args.output}/resumen")
-    show(summary)
+    summary.show(truncate=False)
 
 
 def run_words(spark, args, spec):
-    show(word_length_stats(spark.read.text(args.input), "value"))
+    report(word_length_stats(spark.read.text(args.input), "value"), args, "words")
 
 
 def run_timings(spark, args, spec):
-    engines = dict(item.split("=", 1) for item in args.engines)
-    reports = [
+    reports = dict(item.split("=", 1) for item in args.engines)
+    logs = dict(item.split("=", 1) for item in args.logs)
+    names = spark.createDataFrame(
+        [(name, None) for name in sorted({*reports, *logs})], "motor string, entorno string"
+    )
+    timed = [
         report_seconds(typed_result(read_result(spark, path))).select(
             F.lit(engine).alias("motor"), "tiempo_segundos"
         )
-        for engine, path in engines.items()
+        for engine, path in reports.items()
+    ]
+    # A log is one text: its last total is the one that counts.
+    told = [
+        spark.read.text(path, wholetext=True).select(
+            F.lit(engine).alias("motor"), F.col("value").alias("registro")
+        )
+        for engine, path in logs.items()
     ]
-    names = spark.createDataFrame([(name,) for name in engines], "motor string")
-    rollup = timing_rollup(names, union_all(reports))
-    show(rollup)
+    nothing = spark.createDataFrame([], "motor string, tiempo_segundos double, registro string")
+    times = engine_times(
+        names,
+        union_all([nothing.select("motor", "registro"), *told]),
+        union_all([nothing.select("motor", "tiempo_segundos"), *timed]),
+    )
+    rollup = timing_rollup(names, times.filter("tiempo_segundos IS NOT NULL"))
+    rollup = rollup.join(times.select("motor", "fuente"), "motor").orderBy("motor")
+    rollup.show(truncate=False)
     if args.output:
         write_report(rollup, args.output)
 
@@ -162,13 +190,16 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--input", help="catalog, text or expected suite to read")
-    parser.add_argument("--output", help="where results are written")
+    parser.add_argument("--output", help="where results, and whole reports, are written")
     parser.add_argument("--raw", help="raw catalog beside a clean one (collisions)")
     parser.add_argument(
         "--split-csv", action="store_true", help="read each CSV file in parallel"
     )
     parser.add_argument("--rows", type=int, default=1000, help="rows of the copy (changes)")
     parser.add_argument("--engines", nargs="*", default=[], metavar="NAME=PATH")
+    parser.add_argument(
+        "--logs", nargs="*", default=[], metavar="NAME=PATH", help="run logs (timings)"
+    )
     parser.add_argument(
         "--unique-key", action="store_true", help="the key is known to be unique and filled"
     )

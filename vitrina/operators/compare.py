@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from vitrina.functions.text import stripped
 from vitrina.operators.ordinals import distributed_ordinal
+from vitrina.session import materialize
 from vitrina.spec import TOLERANCE
 
 ISSUE_SCHEMA = (
@@ -247,6 +248,84 @@ def compare_sorted(
     )
 
 
+def compare_aligned(
+    reference: DataFrame, candidate: DataFrame, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """Rows and cells that differ, aligned inside equal texts; empty when both agree.
+
+    Rows that both tables have cancel out first, counted with copies. What is left is numbered
+    inside each combination of its text columns, in the order of its numbers, and rows of one
+    number are compared. So a missing row is one issue and moves no other row. Issues are
+    ``filas`` (the numbers of rows of both tables, if they differ), ``falta`` and ``sobra`` (a
+    row without a partner, with its numbers) and ``valor`` (a cell beyond the tolerance).
+
+    Texts are compared stripped, NULL equals NULL and NaN equals NaN. Cancelling combines before
+    the shuffle, and the numbers come from a range sort of what is left, so no combination of
+    texts is gathered in one task.
+    """
+    if reference.columns != candidate.columns:
+        raise ValueError(f"columns differ: {reference.columns} and {candidate.columns}")
+    numeric = _shared_types(reference, candidate, [])
+    texts = [name for name in reference.columns if not numeric[name]]
+    numbers = [name for name in reference.columns if numeric[name]]
+
+    def cells(df: DataFrame) -> DataFrame:
+        return df.select(
+            *(stripped(F.col(name)).alias(name) for name in texts),
+            *(F.col(name).cast("double").alias(name) for name in numbers),
+        )
+
+    left = materialize(multiset_difference(cells(reference), cells(candidate)), "unmatched")
+    order = [F.col(name).asc_nulls_last() for name in (*texts, *numbers)]
+    # Text columns in one value that can be a key whether or not they are NULL.
+    key = F.array(*(F.coalesce(F.concat(F.lit("t"), F.col(name)), F.lit("")) for name in texts))
+
+    def numbered(side: int) -> DataFrame:
+        copies = F.expr(f"explode(sequence(1L, {side} * saldo))")
+        rows = left.filter(F.col("saldo") * side > 0).select(*texts, *numbers, copies.alias("copia"))
+        placed = distributed_ordinal(rows.drop("copia").withColumn("clave", key), order, "fila")
+        firsts = placed.groupBy("clave").agg(F.min("fila").alias("primera"))
+        values = F.struct(*(F.col(name) for name in numbers), F.lit(True).alias("hay"))
+        return placed.join(firsts, "clave").select(
+            "clave", (F.col("fila") - F.col("primera")).alias("fila"), values.alias("ab"[side < 0])
+        )
+
+    both = numbered(1).join(numbered(-1), ["clave", "fila"], "full_outer")
+
+    def issue(kind: Column, name: str | None, a: Column, b: Column) -> Column:
+        return F.struct(
+            kind.alias("problema"),
+            F.lit(name).cast("string").alias("columna"),
+            a.cast("string").alias("referencia"),
+            b.cast("string").alias("candidato"),
+        )
+
+    def row_text(side: str) -> Column:
+        shown = (F.coalesce(F.col(f"{side}.{name}").cast("string"), F.lit("")) for name in numbers)
+        return F.when(F.col(side).isNotNull(), F.concat_ws("|", *shown))
+
+    single = F.when(F.col("b").isNull(), "falta").when(F.col("a").isNull(), "sobra")
+    issues = [issue(single, None, row_text("a"), row_text("b"))]
+    for name in numbers:
+        a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
+        wrong = F.col("a.hay") & F.col("b.hay") & ~close(a, b, tolerance)
+        issues.append(issue(F.when(wrong, F.lit("valor")), name, a, b))
+    named = [
+        F.when(F.col("clave")[at] != "", F.substr(F.col("clave")[at], F.lit(2))).alias(name)
+        for at, name in enumerate(texts)
+    ]
+    found = both.select(*named, "fila", F.inline(F.array(*issues))).filter("problema IS NOT NULL")
+    sizes = reference.agg(F.count(F.lit(1)).alias("n")).join(
+        candidate.agg(F.count(F.lit(1)).alias("m")), F.col("n") != F.col("m")
+    )
+    verdict = sizes.select(
+        *(F.lit(None).cast("string").alias(name) for name in texts),
+        F.lit(None).cast("bigint").alias("fila"),
+        F.inline(F.array(issue(F.lit("filas"), None, F.col("n"), F.col("m")))),
+    )
+    return found.unionByName(verdict)
+
+
 def order_contract(
     df: DataFrame, position: str, order: Sequence[tuple[str, bool]]
 ) -> DataFrame:

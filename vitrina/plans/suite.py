@@ -40,23 +40,36 @@ def write_suite(clean: DataFrame, spec: CatalogSpec, path: str, parallel: int =
         list(pool.map(write, CONTRACT))
 
 
-def result_order(name: str) -> list[Column]:
+def promised_order(name: str, spec: CatalogSpec | None = None) -> list[tuple[str, bool]]:
+    """The order of a contract result by the names that ``spec`` gives the year and the key."""
+    spec, roles = spec or CatalogSpec(), CatalogSpec()
+    own = {roles.year_column: spec.year_column, roles.key: spec.key}
+    return [(own.get(column, column), descending) for column, descending in CONTRACT_ORDER[name]]
+
+
+def result_order(name: str, spec: CatalogSpec | None = None) -> list[Column]:
     """Sort columns of a contract result, NULLs last."""
     return [
         F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
-        for column, descending in CONTRACT_ORDER[name]
+        for column, descending in promised_order(name, spec)
     ]
 
 
-def _written_rows(spark: SparkSession, path: str, engine: str) -> DataFrame:
+def _written_rows(
+    spark: SparkSession, path: str, engine: str, spec: CatalogSpec | None = None
+) -> DataFrame:
     """The rows of a written suite with their position in the file.
 
+    ``sin_orden`` tells that a column by which the rows should be in order is missing.
+
     Columns become cells, so that results of different shape share a table. The reader
     numbers the rows as it goes; a report is far below the size at which files are split.
     """
     rows = []
-    for name, order in CONTRACT_ORDER.items():
+    for name in CONTRACT_ORDER:
+        order = promised_order(name, spec)
         result = read_result(spark, f"{path}/{name}")
+        missing = any(column not in result.columns for column, _ in order)
         cells = [
             F.struct(
                 F.lit(place).alias("lugar"),
@@ -81,6 +94,7 @@ def _written_rows(spark: SparkSession, path: str, engine: str) -> DataFrame:
                 F.lit(name).alias("query_id"),
                 F.monotonically_increasing_id().alias("posicion"),
                 F.array(*cells).alias("celdas"),
+                F.lit(missing).alias("sin_orden"),
                 *key(0),
                 *key(1),
             )
@@ -113,26 +127,12 @@ def _order_kept(rows: DataFrame) -> DataFrame:
     return (
         rows.join(following, [*keys, "posicion"], "left")
         .groupBy(*keys)
-        .agg((F.count_if(F.col("followed") & wrong) == 0).alias("en_orden"))
+        .agg((~F.bool_or("sin_orden") & (F.count_if(F.col("followed") & wrong) == 0)).alias("en_orden"))
     )
 
 
-def compare_suites(
-    spark: SparkSession,
-    expected_path: str,
-    engines: Mapping[str, str],
-    tolerance: float = TOLERANCE,
-) -> DataFrame:
-    """Differing cells and kept order per engine and query, against the expected suite.
-
-    A column is numeric for an engine if every filled cell of the expected suite and of that
-    engine is a number; such cells may differ by the tolerance. Columns count by name and
-    place. A missing row, or a column that is missing or elsewhere, shows as differing cells.
-    """
-    expected = _written_rows(spark, expected_path, "")
-    actual = union_all([_written_rows(spark, path, engine) for engine, path in engines.items()])
-    everything = expected.unionByName(actual)
-
+def _paired_cells(everything: DataFrame, engines: Mapping[str, str], tolerance: float) -> DataFrame:
+    """Every cell of the expected suite beside that of each engine, and what is wrong with it."""
     cells = everything.select("motor", "query_id", "posicion", F.inline("celdas"))
     engine_names = F.explode(F.array(*(F.lit(engine) for engine in engines)))
     keys = ["motor", "query_id", "posicion", "lugar", "columna"]
@@ -155,26 +155,77 @@ def compare_suites(
         F.col("numerica"),
         close(left.try_cast("double"), right.try_cast("double"), tolerance),
     ).otherwise(left.eqNullSafe(right))
+    wrong = F.when(F.col("b").isNull(), "falta").when(F.col("a").isNull(), "sobra").when(~same, "valor")
+    return paired.join(numeric, ["motor", "query_id", "columna"]).withColumn("problema", wrong)
+
+
+def _both_suites(spark, expected_path, engines, spec) -> DataFrame:
+    expected = _written_rows(spark, expected_path, "", spec)
+    return union_all(
+        [expected, *(_written_rows(spark, path, engine, spec) for engine, path in engines.items())]
+    )
+
+
+def suite_issues(
+    spark: SparkSession,
+    expected_path: str,
+    engines: Mapping[str, str],
+    tolerance: float = TOLERANCE,
+    spec: CatalogSpec | None = None,
+) -> DataFrame:
+    """Per engine, query and column that differ: how often, and the first bad row with both values.
+
+    ``problema`` of that row is ``falta`` (the engine has no such cell), ``sobra`` (only the
+    engine has it) or ``valor``. Columns count by name and place, as in ``compare_suites``.
+    """
+    cells = _paired_cells(_both_suites(spark, expected_path, engines, spec), engines, tolerance)
+    first = F.min(F.struct("posicion", "problema", "esperado", "actual")).alias("first")
+    return (
+        cells.filter("problema IS NOT NULL")
+        .groupBy("motor", "query_id", "columna")
+        .agg(F.count(F.lit(1)).alias("diferencias"), first)
+        .select("motor", "query_id", "columna", "diferencias", "first.*")
+    )
+
+
+def compare_suites(
+    spark: SparkSession,
+    expected_path: str,
+    engines: Mapping[str, str],
+    tolerance: float = TOLERANCE,
+    spec: CatalogSpec | None = None,
+) -> DataFrame:
+    """Differing cells and kept order per engine and query, against the expected suite.
+
+    A column is numeric for an engine if every filled cell of the expected suite and of that
+    engine is a number; such cells may differ by the tolerance. Columns count by name and
+    place. A missing row, or a column that is missing or elsewhere, shows as differing cells.
+    Rows without the columns that order them are in no order; a result without rows is in order.
+    """
+    everything = _both_suites(spark, expected_path, engines, spec)
     differences = (
-        paired.join(numeric, ["motor", "query_id", "columna"])
+        _paired_cells(everything, engines, tolerance)
         .groupBy("motor", "query_id")
-        .agg(F.count_if(F.col("a").isNull() | F.col("b").isNull() | ~same).alias("diferencias"))
+        .agg(F.count("problema").alias("diferencias"))
     )
-
     kept = _order_kept(everything)
     reference_kept = kept.filter("motor = ''").select(
         "query_id", F.col("en_orden").alias("referencia_en_orden")
     )
+    pairs = spark.createDataFrame(
+        [(engine, name) for engine in engines for name in CONTRACT_ORDER], "motor string, query_id string"
+    )
     return (
-        differences.join(kept, ["motor", "query_id"], "left")
+        pairs.join(differences, ["motor", "query_id"], "left")
+        .join(kept, ["motor", "query_id"], "left")
         .join(reference_kept, "query_id", "left")
         .select(
             "motor",
             "query_id",
-            "diferencias",
-            F.coalesce(F.col("en_orden") & F.col("referencia_en_orden"), F.lit(True)).alias(
-                "en_orden"
-            ),
+            F.coalesce("diferencias", F.lit(0)).alias("diferencias"),
+            (
+                F.coalesce("en_orden", F.lit(True)) & F.coalesce("referencia_en_orden", F.lit(True))
+            ).alias("en_orden"),
         )
     )
 

@@ -659,6 +659,27 @@ def oracles() -> dict[str, str]:
         ("l_returnflag", "l_linestatus", "l_tax"),
         ("l_tax",),
     )
+    sql["compare_aligned_lines"] = """
+        WITH a AS (SELECT l_returnflag AS f, l_linestatus AS s, l_quantity AS q, l_tax AS t FROM lineitem),
+        b AS (SELECT l_returnflag AS f, l_linestatus AS s, l_quantity AS q,
+            CASE WHEN l_orderkey % 89 = 0 THEN l_tax + 0.01::DOUBLE ELSE l_tax END AS t
+            FROM lineitem WHERE l_orderkey % 97 <> 0),
+        x AS (SELECT *, row_number() OVER (PARTITION BY f, s ORDER BY q, t) - 1 AS nr, true AS hay
+            FROM (FROM a EXCEPT ALL FROM b)),
+        y AS (SELECT *, row_number() OVER (PARTITION BY f, s ORDER BY q, t) - 1 AS nr, true AS hay
+            FROM (FROM b EXCEPT ALL FROM a)),
+        p AS (SELECT coalesce(x.f, y.f) AS l_returnflag, coalesce(x.s, y.s) AS l_linestatus,
+            coalesce(x.nr, y.nr) AS fila, x.hay AS a, y.hay AS b, x.q AS aq, x.t AS ta, y.q AS bq, y.t AS tb
+            FROM x FULL JOIN y ON x.f = y.f AND x.s = y.s AND x.nr = y.nr)
+        SELECT l_returnflag, l_linestatus, fila, CASE WHEN b IS NULL THEN 'falta' ELSE 'sobra' END AS problema,
+            NULL::VARCHAR AS columna, CASE WHEN a THEN concat(aq, '|', ta) END AS referencia,
+            CASE WHEN b THEN concat(bq, '|', tb) END AS candidato FROM p WHERE a IS NULL OR b IS NULL
+        UNION ALL SELECT l_returnflag, l_linestatus, fila, 'valor', 'l_quantity', aq::VARCHAR, bq::VARCHAR
+            FROM p WHERE a AND b AND abs(aq - bq) > 1e-4
+        UNION ALL SELECT l_returnflag, l_linestatus, fila, 'valor', 'l_tax', ta::VARCHAR, tb::VARCHAR
+            FROM p WHERE a AND b AND abs(ta - tb) > 1e-4
+        UNION ALL SELECT NULL, NULL, NULL, 'filas', NULL, n::VARCHAR, m::VARCHAR
+            FROM (SELECT count(*) AS n FROM a), (SELECT count(*) AS m FROM b) WHERE n <> m"""
     sql["sorted_positions"] = (
         "SELECT o_orderkey, o_totalprice, "
         "row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS posicion FROM orders"
@@ -705,6 +726,24 @@ def oracles() -> dict[str, str]:
         )
     )
 
+    readers = "(VALUES ('entero'), ('por_partes')) AS r(lector)"
+    sql["csv_roundtrip_documents"] = (
+        f"SELECT lector, doc_id, lang, source, n_chars, md5(text) AS texto_md5 FROM documents, {readers}"
+    )
+    sql["csv_roundtrip_orders"] = (
+        f"SELECT lector, o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders, {readers}"
+    )
+    sql["lines_in_small_splits"] = (
+        "SELECT l_returnflag, l_linestatus, count(*) AS lineas, max(l_orderkey) AS ultimo_pedido "
+        "FROM lineitem GROUP BY ALL"
+    )
+    numbers = ("id", "release_year", "rating", "ratings_count", "reviews_count")
+    doubles = ", ".join(f"CAST({name} AS DOUBLE) AS {name}" for name in numbers)
+    sql["typed_report"] = f"SELECT * REPLACE ({doubles}) FROM ({sql['q08_top_items']})"
+    sql["priority_report"] = (
+        "SELECT o_orderpriority AS prioridad, count(*) AS pedidos, max(o_totalprice) AS mayor "
+        "FROM orders GROUP BY 1 ORDER BY 1"
+    )
     sql["document_word_lengths"] = words_sql("documents")
     sql["document_word_stats"] = word_stats_sql("documents")
     sql["conversation_word_stats"] = word_stats_sql("conversations")
@@ -725,6 +764,7 @@ def oracles() -> dict[str, str]:
         "CASE WHEN event_type <> 'error' THEN 'registro' ELSE 'reporte' END AS fuente FROM events "
         "UNION ALL SELECT 'c' || c_custkey, c_mktsegment, NULL, NULL FROM customer"
     )
+    sql["suite_issues"] = suite_issues_sql()
     sql["long_ratings"] = orders(
         union(
             f"SELECT '{name}' AS columna, count({name}) AS validos, "
@@ -735,6 +775,37 @@ def oracles() -> dict[str, str]:
     return sql
 
 
+def suite_issues_sql() -> str:
+    """First differing row of each number column of the queries that have a fixed set of rows."""
+    parts, issues = [], []
+    numbers = {
+        "q01": ("total_registros", ("juegos_con_rating",)),
+        "q02": ("release_year", ("videojuegos",)),
+        "q10": ("release_year", ("juegos_con_rating", "rating_promedio")),
+    }
+    for name, (order, columns) in numbers.items():
+        body = next(body for key, body in CONTRACT.items() if key.startswith(name))
+        head = "" if body.strip().startswith("SELECT") else "WITH "
+        moved = body.replace("FROM clean", "FROM shifted")
+        for label, text in ((name, body), (f"{name}s", moved)):
+            parts.append(
+                f"{label} AS (SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS nr FROM ({head}{text}))"
+            )
+        for column in columns:
+            issues.append(
+                f"SELECT 'shifted' AS motor, '{name}' AS query_id, '{column}' AS columna, "
+                "count(*) AS diferencias, min(nr) AS posicion, 'valor' AS problema, "
+                f"CAST(arg_min(a.{column}, nr) AS DOUBLE) AS esperado, "
+                f"CAST(arg_min(b.{column}, nr) AS DOUBLE) AS actual "
+                f"FROM {name} AS a JOIN {name}s AS b USING (nr) "
+                f"WHERE abs(a.{column} - b.{column}) > 1e-4 HAVING count(*) > 0"
+            )
+    return orders(
+        "shifted AS (SELECT * REPLACE (CASE WHEN rating < 2 THEN rating + 1 ELSE rating END "
+        f"AS rating) FROM clean), {', '.join(parts)} {' UNION ALL '.join(issues)}"
+    )
+
+
 def suite_summary_sql() -> str:
     """Queries that do not read the rating agree in all runs; the others differ when shifted.
 

@@ -19,11 +19,13 @@ from vitrina.functions.dimensions import (
 from vitrina.functions.numbers import half_even, lenient_double, lenient_long
 from vitrina.functions.text import has_text, is_missing, json_field, normalized, preview
 from vitrina.operators.compare import (
+    compare_aligned,
     compare_multiset,
     compare_ordered,
     compare_sorted,
     multiset_difference,
     order_contract,
+    typed_result,
     union_all,
 )
 from vitrina.operators.duplicates import collision_groups, collision_members, key_counts
@@ -55,8 +57,10 @@ from vitrina.registry.catalogs import (
     orders_raw,
     table,
 )
-from vitrina.session import fresh_path
-from vitrina.sources.readers import first_rows
+from vitrina.session import delete_at_end, fresh_path
+from vitrina.sources.csv_records import read_csv_split
+from vitrina.sources.readers import first_rows, read_csv, read_parquet, read_result
+from vitrina.sources.writers import report_frame, write_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -265,6 +269,22 @@ def suite_summary(spark, sf_dir):
     )
 
 
+@query
+def suite_issues(spark, sf_dir):
+    # As above; the first bad row of each column that differs, with both values.
+    clean = orders_clean(spark, sf_dir)
+    path = fresh_path(spark, "suite-issues")
+    delete_at_end(spark, path)
+    suite.write_suite(clean, ORDER_SPEC, f"{path}/expected")
+    low = F.when(F.col("rating") < 2, F.col("rating") + 1).otherwise(F.col("rating"))
+    suite.write_suite(clean.withColumn("rating", low), ORDER_SPEC, f"{path}/shifted")
+    issues = suite.suite_issues(spark, f"{path}/expected", {"shifted": f"{path}/shifted"})
+    # Where the order of rows changes, texts of later columns differ in any row; numbers show it.
+    return issues.filter("query_id IN ('q01', 'q02', 'q10')").withColumns(
+        {name: F.col(name).cast("double") for name in ("esperado", "actual")}
+    )
+
+
 # Inspection and profile
 
 
@@ -500,6 +520,16 @@ def compare_sorted_copies(spark, sf_dir):
     return compare_sorted(lines, lines.withColumn("l_tax", F.col("l_tax") + 0.01))
 
 
+@query
+def compare_aligned_lines(spark, sf_dir):
+    # Some lines are missing from the copy and some taxes are higher.
+    names = ["l_returnflag", "l_linestatus", "l_quantity", "l_tax"]
+    lines = table(spark, sf_dir, "lineitem")
+    higher = F.when(F.col("l_orderkey") % 89 == 0, F.col("l_tax") + 0.01).otherwise(F.col("l_tax"))
+    copy = lines.filter(F.col("l_orderkey") % 97 != 0).withColumn("l_tax", higher)
+    return compare_aligned(lines.select(*names), copy.select(*names))
+
+
 @query
 def sorted_positions(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
@@ -599,6 +629,76 @@ def crud_summary(spark, sf_dir):
     return union_all([stage_summary(df, name, key) for name, df in stages.items()]).orderBy("etapa")
 
 
+# Sources and sinks
+
+
+def _read_back(spark, df):
+    """A table written as CSV and read by both readers of catalogs, in one column of texts."""
+    path = fresh_path(spark, "csv-roundtrip")
+    delete_at_end(spark, path)
+    df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return union_all(
+        [
+            reader(spark, path).withColumn("lector", F.lit(name))
+            for name, reader in (("entero", read_csv), ("por_partes", read_csv_split))
+        ]
+    )
+
+
+@query
+def csv_roundtrip_documents(spark, sf_dir):
+    # Texts hold line ends, quotes and commas.
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", "text")
+    return _read_back(spark, documents).select(
+        "lector",
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        "lang",
+        "source",
+        F.col("n_chars").cast("bigint").alias("n_chars"),
+        F.md5("text").alias("texto_md5"),
+    )
+
+
+@query
+def csv_roundtrip_orders(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    return _read_back(spark, orders).select(
+        "lector",
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+        "o_orderstatus",
+        F.col("o_totalprice").cast("double").alias("o_totalprice"),
+        "o_orderpriority",
+    )
+
+
+@query
+def lines_in_small_splits(spark, sf_dir):
+    lines = read_parquet(spark, f"{sf_dir}/lineitem.parquet", split_bytes=1 << 18)
+    return lines.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("lineas"), F.max("l_orderkey").alias("ultimo_pedido")
+    )
+
+
+@query
+def typed_report(spark, sf_dir):
+    # A result written as a report and read as text; its number columns are found by their cells.
+    path = fresh_path(spark, "typed-report")
+    delete_at_end(spark, path)
+    write_report(contract.q08_top_items(orders_clean(spark, sf_dir), ORDER_SPEC), path)
+    return typed_result(read_result(spark, path))
+
+
+@query
+def priority_report(spark, sf_dir):
+    # A few rows of a report, as the driver has them after a run, become an ordered table.
+    rows = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("pedidos"), F.max("o_totalprice").alias("mayor")
+    )
+    return report_frame(
+        spark, map(tuple, rows.collect()), "prioridad string, pedidos bigint, mayor double", "prioridad"
+    )
+
+
 # Words and run times
 
 

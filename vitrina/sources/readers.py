@@ -26,10 +26,19 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFram
 
 
 def read_parquet(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
-    """A Parquet catalog; ``split_bytes`` sets how much of a file one task reads."""
-    if split_bytes is not None:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    return spark.read.parquet(path)
+    """A Parquet catalog; ``split_bytes`` sets how much of a file one task reads.
+
+    The size holds for this table only: it is read in a session of its own, with the settings
+    of the given one, which stays as it is.
+    """
+    if split_bytes is None:
+        return spark.read.parquet(path)
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    return own.read.parquet(path)
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:
