@@ -198,6 +198,20 @@ def test_one_very_long_vector(spark, length):
     assert np.mean([len(found[key] & set(ids)) / len(ids) for key, ids in want.items()]) >= 0.9
 
 
+def test_ties_between_distinct_vectors_go_to_smaller_ids(spark):
+    random = np.random.default_rng(4)
+    side = random.normal(size=(101, 8)) * 0.1
+    first = np.where(np.arange(101) <= 60, 1.0, -1.0)
+    vectors = np.concatenate([first[:, None], side], axis=1)
+    vectors[0] = [1.0] + [0.0] * 8
+    order = random.permutation(101)
+    rows = [(int(key), vectors[key].tolist()) for key in order]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = graph_search.nearest(frame, lambda key: key % 200 == 0).collect()
+    assert {row.score for row in found} == {1.0}
+    assert sorted((row["rank"], row.id) for row in found) == [(rank, rank) for rank in range(1, 21)]
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     """The documents before and after each stage; ``after[k]`` is ``before[k + 1]``."""

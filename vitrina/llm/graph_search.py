@@ -196,6 +196,7 @@ def _searched(nearest: int):
         asked, exponents = scaled(np.stack(queries["embedding"].to_numpy()), axis=1)
         exponents = exponents + exponent
         names, members = queries["query_id"].to_numpy(), graph["ids"].to_numpy()
+        smallest = np.array([min(ids) for ids in members])
         # Directions decide, so queries are brought to the length of the points.
         length = np.sqrt((asked**2).sum(axis=1, keepdims=True))
         flat = np.concatenate([asked / length * longest, np.zeros((len(asked), 1))], axis=1)
@@ -207,7 +208,8 @@ def _searched(nearest: int):
             )
             exact = np.einsum("bcd,bd->bc", vectors[np.maximum(found, 0)], asked[part])
             exact[found < 0] = -np.inf
-            best = np.argsort(-exact, axis=1, kind="stable")[:, : nearest + 1]
+            # Of equal products those with the smaller ids stay.
+            best = np.lexsort((smallest[found], -exact), axis=1)[:, : nearest + 1]
             exact = np.ldexp(exact, exponents[part])
             for row, columns in enumerate(best):
                 for column in columns:

@@ -236,25 +236,30 @@ def with_inertia(found: DataFrame, centroids: list[list[int]]) -> DataFrame:
     """Adds the summed distances of the cluster and of all, and the centroid's digest."""
     exact = F.sum(F.col("distance").cast("decimal(38,0)"))
     whole = F.when(F.count("distance") == F.count(F.lit(1)), exact)
-    by_cluster = found.groupBy("cluster").agg(whole.alias("own"))
-    of_all = by_cluster.agg(F.when(F.count("own") == F.count(F.lit(1)), F.sum("own")).alias("every"))
-    digests = [
-        (k, hashlib.sha256(",".join(map(str, one)).encode()).hexdigest())
-        for k, one in enumerate(centroids)
+    # A row for each centroid that has vectors: their number is a parameter.
+    sums = {row.cluster: row.own for row in found.groupBy("cluster").agg(whole.alias("own")).collect()}
+    known = all(own is not None for own in sums.values())
+    every = _in_long(sum(map(int, sums.values()))) if known else None
+    rows = [
+        (k, None if own is None else _in_long(int(own)), every, _digest(centroids[k]))
+        for k, own in sums.items()
     ]
-    named = found.sparkSession.createDataFrame(digests, "cluster int, centroid_sha256 string")
-    # A row for each centroid: their number is a parameter.
-    about = by_cluster.join(F.broadcast(named), "cluster").join(F.broadcast(of_all))
+    about = found.sparkSession.createDataFrame(
+        rows, "cluster int, cluster_inertia bigint, inertia bigint, centroid_sha256 string"
+    )
     return found.join(F.broadcast(about), "cluster").select(
-        "id",
-        "cluster",
-        "distance",
-        F.col("own").try_cast("long").alias("cluster_inertia"),
-        F.col("every").try_cast("long").alias("inertia"),
-        "centroid_sha256",
+        "id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
 
 
+def _in_long(number: int) -> int | None:
+    return number if number <= LONGEST else None
+
+
+def _digest(centroid: list[int]) -> str:
+    return hashlib.sha256(",".join(map(str, centroid)).encode()).hexdigest()
+
+
 def op12_popcount_clusters(spark, sf_dir) -> DataFrame:
     """Every usable vector's cluster, squared distance, inertias and centroid digest."""
     found, centroids = clusters(table(spark, sf_dir, "embeddings"))
