@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,10 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder; the shuffle files of its job go with the job."""
+    """``df`` as a table in the shared folder; the shuffle files of its job go with the job.
+
+    What the driver held for its plan is let go too, as a job of many steps would keep all of it.
+    """
     spark = df.sparkSession
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
@@ -43,6 +48,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
         return materialize(df, label)
     finally:
         spark.conf.set(CLEANUP, before)
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def discard(df: DataFrame) -> None:
