@@ -106,6 +106,26 @@ def test_word_ids_are_those_of_the_whole_text():
         assert np.frombuffer(own, dtype="<u4").tolist() == [*ids, 1]
 
 
+def test_words_are_letters_and_punctuation_apart():
+    library = Tokenizer.from_file(WORDS)
+    library.encode_special_tokens = True
+    texts = [
+        "Don't 'S 're's WORD'S x's, word, Word. word's. " + "'" * 3 + " a--- A.B. 12ab, _ab_ ab_ \u00aa\u00ba.",
+        "\u0130stanbul \u03a3\u0391\u03a3. \u00e9\u00c9, e\u0301x n\u01c5, \u00df. \ufb01, \uac00. \u0149.",
+        "<|endoftext|> word\x1cword a\u0085b x\u3000y, , ' 's 't. I'll. I'LL, !!!",
+    ]
+    for text, own in zip(texts, packing.encode_texts(texts, WORDS)):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own, dtype="<u4").tolist() == [*ids, 1], text
+
+
+def test_words_outlive_their_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED", 3)
+    texts = ["one two, three four.", "five two six, one", "four four. seven three", "", "one two,"]
+    whole = packing.encode_texts(texts, WORDS)
+    assert [packing.encode_texts([text], WORDS)[0] for text in texts * 2] == whole * 2
+
+
 def test_packing_keeps_all_limits():
     random_ = random.Random(5)
     limits = packing.Limits(tokens=64, segments=3, loss=20)

@@ -21,6 +21,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -55,35 +56,82 @@ class Words(dict):
 
     The tokenizer drops white space and no token crosses it, so a text's ids are those of
     its words one after the other. Two generations of at most ``CACHED`` words are kept.
+
+    Most new words are letters with punctuation behind them. No token crosses that border
+    either, so the letters, in lower case, and the punctuation are looked up apart: "Word",
+    "word," and "word." are one run of letters.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # For lower-case letters below U+0300, which the normalizer leaves as they are.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
         self.older: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
     def learn(self, words: set[str]) -> None:
         """Makes all ``words`` known, many at a time."""
         if len(self) > CACHED:
             self.older = dict(self)
             self.clear()
-        unknown = [word for word in words if word not in self]
-        for word in unknown:
+        if len(self.runs) > CACHED:
+            self.runs.clear()
+        if len(self.tails) > CACHED:
+            self.tails = {"": b""}
+        mixed, cut = [], []
+        for word in filterfalse(self.__contains__, words):
             if word in self.older:
                 self[word] = self.older[word]
-        unknown = [word for word in unknown if word not in self]
-        for first in range(0, len(unknown), TOGETHER):
-            group = unknown[first : first + TOGETHER]
+                continue
+            letters = word.rstrip(PUNCTUATION)
+            run = letters.lower()
+            if run.isalpha() and (run.isascii() or max(run) < "\u0300"):
+                cut.append((word, run, word[len(letters) :]))
+            else:
+                mixed.append(word)
+        runs, tails = self.runs, self.tails
+        self._learn_runs(list({run for _, run, _ in cut if run not in runs}))
+        self._learn_mixed(list({tail for _, _, tail in cut if tail not in tails}), tails)
+        self._learn_mixed(mixed, self)
+        for word, run, tail in cut:
+            self[word] = runs[run] + tails[tail]
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        """Each run is one word to the tokenizer, so its last id is the only one that ends one."""
+        for first in range(0, len(runs), TOGETHER):
+            group = runs[first : first + TOGETHER]
+            ids = np.array(self.plain.encode(" ".join(group)).ids, dtype="<u4")
+            bounds = np.flatnonzero(self.ends[ids]) * 4 + 4
+            data, low = ids.tobytes(), 0
+            for run, high in zip(group, bounds.tolist(), strict=True):
+                self.runs[run] = data[low:high]
+                low = high
+
+    def _learn_mixed(self, words: list[str], known: dict[str, bytes]) -> None:
+        for first in range(0, len(words), TOGETHER):
+            group = words[first : first + TOGETHER]
             encoded = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
             starts = np.cumsum([0, *(len(word) + 1 for word in group)])
             at = np.fromiter((span[0] for span in encoded.offsets), dtype=np.int64)
             bounds = np.searchsorted(at, starts) * 4
             data = np.array(encoded.ids, dtype="<u4").tobytes()
             for word, low, high in zip(group, bounds.tolist(), bounds[1:].tolist()):
-                self[word] = data[low:high]
+                known[word] = data[low:high]
 
 
 @lru_cache(maxsize=2)
@@ -91,6 +139,8 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
+#: ASCII that is neither letter, digit nor white space.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Characters at which ``str.split`` cuts although they are no white space to the tokenizer.
 ODD = regex.compile("[\x1c-\x1f]")
 WHITE = regex.compile(r"[\p{White_Space}]+")
@@ -107,11 +157,8 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     known = words_of(path)
     end = np.array([END_ID], dtype="<u4").tobytes()
     parts = [split(text) for text in texts]
-    try:
-        return [b"".join(map(known.__getitem__, words)) + end for words in parts]
-    except KeyError:
-        known.learn({word for words in parts for word in words})
-        return [b"".join(map(known.__getitem__, words)) + end for words in parts]
+    known.learn(set().union(*parts))
+    return [b"".join(map(known.__getitem__, words)) + end for words in parts]
 
 
 class Packer:
