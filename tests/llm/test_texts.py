@@ -308,6 +308,48 @@ def plain_scan(text):
     return len(words.split()), [one for one in found if one[2] == 0], kept
 
 
+def test_long_seeds_are_instances_of_their_own(spark):
+    start = "a" * 70
+    texts = [f"please mail to {start}{n}@example.com now" for n in range(12)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    edges = pii.graph_edges(pii.extract(frame))
+    assert edges.filter("pattern = 'mail to _'").count() == 12
+    assert [row.pattern for row in pii.trusted_patterns(edges).collect()].count("mail to _") == 1
+
+
+def test_scoring_goes_on_until_no_pattern_is_new(spark):
+    # Seeds alone trust only the first pattern; each unlocks what the next one lacks.
+    rows = []
+    for link in range(1, 7):
+        rows += [(f"p{link}", f"seed {link} {n}", 0) for n in range(40)]
+        rows += [(f"p{link}", f"new {link} {n}", -1) for n in range(6)]
+        rows += [(f"p{link}", f"new {link - 1} {n}", -1) for n in range(6) if link > 1]
+    edges = spark.createDataFrame(rows, "pattern string, instance string, kind int")
+    assert sorted(row.pattern for row in pii.trusted_patterns(edges).collect()) == [
+        f"p{link}" for link in range(1, 7)
+    ]
+
+
+def test_lookalikes_are_cut_out_of_longer_tokens():
+    def found(text):
+        return [text[start:end] for _, start, end, *_ in pii.candidates(text, [])]
+
+    assert found('{"member":"QX-2291-77","note":"x"}') == ["QX-2291-77"]
+    assert found("https://a.example/?member=QX-2291-77&page=2") == ["QX-2291-77"]
+    long = "K" * 90 + "20771"
+    assert found(f"badge {long}.") == [long]
+
+
+def test_contexts_hold_whole_words():
+    word = "long" * 40
+    text = f"{word} badge" + " " * 500 + "QX-2291-77" + "." * 100 + word
+    start = text.index("QX")
+    assert pii.contexts(text, start, start + 10) == [
+        f"{pii.spelling(word)} badge _",
+        f"badge _ {pii.spelling(word)}",
+    ]
+
+
 def test_license_scan(spark, docs):
     texts = list(docs.values()) + [
         "Licensed under the MIT License, and CC BY-NC 4.0. cc-by-nc",

@@ -4,8 +4,12 @@ Base spans come from four validated patterns (e-mail, ip, card, phone). They are
 a bootstrap: the words around a seed are lexical patterns, and other tokens that look like
 identifiers and stand in the same contexts are instances. Spark scores the graph of patterns
 and instances in rounds: a pattern is as good as the share of its distinct instances that are
-known to be of one kind, an instance is as good as its best-supported patterns make it.
-Instances that patterns of high confidence vouch for are spans of that kind.
+known to be of one kind, an instance is as good as its best-supported patterns make it. The
+rounds end when one trusts no pattern that an earlier one didn't. Instances that patterns of
+high confidence vouch for are spans of that kind.
+
+A look-alike is a piece of text between white space, quotes, brackets and the signs that
+separate values (``,;=&?|``), of ``SHORTEST`` characters or more, ``DIGITS`` of them digits.
 
 The texts are read once, in Python; that gives base spans and candidates, which are few. All
 counts run over the distinct pairs of pattern and instance, which combine before the shuffle,
@@ -19,6 +23,7 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -34,14 +39,15 @@ KINDS = ("email", "ip", "card", "phone")
 #: Credentials are seeds too, but count only where a learnt context vouches for them.
 SECRET = len(KINDS)
 ALL_KINDS = (*KINDS, "secret")
-#: Rounds of scoring; distinct known instances a pattern needs, and the share they must have.
-ROUNDS = 3
+#: Distinct known instances a pattern needs, and the share they must have.
 SUPPORT = 5
 CONFIDENT = 0.8
 #: Score from which an instance is taken for one of a kind.
 ACCEPTED = 0.9
-#: Length and digits of tokens that may be identifiers.
-SHORTEST, LONGEST, DIGITS = 6, 64, 4
+#: Least length and digits of tokens that may be identifiers.
+SHORTEST, DIGITS = 6, 4
+#: A digest stands for a longer instance or word in the graph.
+SPELT = 64
 
 #: The patterns of the base kinds (fixed values); the e-mail's is found from its "@".
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -52,6 +58,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _HEX = re.compile(r"(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,64}", re.ASCII | re.IGNORECASE)
 _WORDS = re.compile(r"[^\W_]+|=|:|@|#")
+_CUTS = frozenset("\"'`,;=&?|()[]{}<>")
 _EDGES = "\"'`.,;:!?()[]{}<>|*&%$#="
 
 
@@ -111,13 +118,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _spaced_tokens(text: str) -> Iterator[tuple[int, int]]:
-    """Tokens between white space that hold a digit, without punctuation around them."""
+    """Tokens between white space and ``_CUTS`` with a digit, without punctuation around them."""
     done = 0
     while match := _DIGIT.search(text, done):
         start = end = match.start()
-        while start > done and not text[start - 1].isspace():
+        while start > done and not (text[start - 1].isspace() or text[start - 1] in _CUTS):
             start -= 1
-        while end < len(text) and not text[end].isspace():
+        while end < len(text) and not (text[end].isspace() or text[end] in _CUTS):
             end += 1
         done = end
         while start < end and text[start] in _EDGES:
@@ -127,28 +134,48 @@ def _spaced_tokens(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+def spelling(part: str) -> str:
+    """What stands for a word or instance in the graph: itself in lower case, or a digest."""
+    part = part.lower()
+    if len(part) <= SPELT:
+        return part
+    return "#" + hashlib.md5(part.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def words_before(text: str, start: int) -> list[str]:
+    """The last two words before ``start``, whole however long they are."""
+    width = 64
+    while True:
+        low = max(0, start - width)
+        words = _WORDS.findall(text, low, start)
+        # Only the first of the words found may be cut.
+        if low == 0 or len(words) > 2:
+            return words[-2:]
+        width *= 4
+
+
 def contexts(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns around a span: two words before it, and one on either side."""
-    before = _WORDS.findall(text[max(0, start - 60) : start].lower())[-2:]
-    after = _WORDS.findall(text[end : end + 40].lower())[:1]
+    before = [spelling(word) for word in words_before(text, start)]
+    after = _WORDS.search(text, end)
     out = []
     if len(before) == 2:
         out.append(f"{before[0]} {before[1]} _")
     if before and after:
-        out.append(f"{before[-1]} _ {after[0]}")
+        out.append(f"{before[-1]} _ {spelling(after.group())}")
     return out
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
     """Seeds and look-alikes: kind number (-1: none known), start, end, instance, patterns."""
     out = [
-        (kind, start, end, text[start:end][:LONGEST].lower(), contexts(text, start, end))
+        (kind, start, end, spelling(text[start:end]), contexts(text, start, end))
         for kind, start, end in base
     ]
     taken = sorted((start, end) for _, start, end in base)
     at = 0
     for start, end in _spaced_tokens(text):
-        if not SHORTEST <= end - start <= LONGEST:
+        if end - start < SHORTEST:
             continue
         if sum("0" <= char <= "9" for char in text[start:end]) < DIGITS:
             continue
@@ -157,7 +184,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
         if at < len(taken) and taken[at][0] < end:
             continue
         kind = SECRET if _HEX.fullmatch(text, start, end) else -1
-        out.append((kind, start, end, text[start:end].lower(), contexts(text, start, end)))
+        out.append((kind, start, end, spelling(text[start:end]), contexts(text, start, end)))
     return out
 
 
@@ -228,6 +255,9 @@ def graph_edges(found: DataFrame) -> DataFrame:
 def trusted_patterns(edges: DataFrame) -> DataFrame:
     """``pattern``, ``kind`` and ``confidence`` after the last round.
 
+    A round is the last when it trusts only patterns that some earlier round trusted. Every
+    other one adds at least one, so the rounds end.
+
     Patterns that no seed stands in lend nothing in the first round, so edges without any
     pattern that occurs with several instances are left out from the start.
     """
@@ -240,8 +270,8 @@ def trusted_patterns(edges: DataFrame) -> DataFrame:
         .distinct(),
         "instances",
     )
-    patterns = None
-    for _ in range(ROUNDS):
+    trusted = None
+    while True:
         sums = (
             edges.join(known, "instance", "left")
             .groupBy("pattern", "is_kind")
@@ -264,6 +294,11 @@ def trusted_patterns(edges: DataFrame) -> DataFrame:
             ),
             "patterns",
         )
+        names = patterns.select("pattern")
+        added = names if trusted is None else names.join(trusted, "pattern", "left_anti")
+        if added.isEmpty():
+            return patterns
+        trusted = names if trusted is None else trusted.unionByName(names)
         # Independent patterns add up: what is left of doubt is the product of their doubts.
         doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6))))
         fresh = (
@@ -281,7 +316,6 @@ def trusted_patterns(edges: DataFrame) -> DataFrame:
             .select("instance", "best.is_kind", "best.score"),
             "instances",
         )
-    return patterns
 
 
 def _unsure(one: Column) -> Column:
