@@ -4,7 +4,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from vitrina.operators import compare, duplicates, ordinals, profile, quantiles, rows, timings, words
+from vitrina.operators import (
+    compare, duplicates, fingerprints, ordinals, profile, quantiles, rows, timings, words,
+)
 
 
 def test_no_task_ranks_more_than_a_fixed_number_of_values(spark):
@@ -110,6 +112,52 @@ def test_multiset_difference(spark):
     assert compare.same_rows(left, left) and not compare.same_rows(left, right)
 
 
+def test_fingerprints_tell_tables_apart(spark):
+    schema = "a string, b string, n double, list array<int>"
+    rows = [
+        ("x", None, 1.0, [1, None]),
+        ("x", None, 1.0, [1, None]),
+        (None, "x", float("nan"), [None, 1]),
+        ("", "x", 0.0, []),
+        (None, None, None, None),
+    ] + [(str(n), "y", float(n), [n]) for n in range(300)]
+    left = spark.createDataFrame(rows, schema)
+
+    def moved(at, row):
+        return spark.createDataFrame(rows[:at] + [row] + rows[at + 1 :], schema)
+
+    shuffled = spark.createDataFrame(rows[::-1], schema).repartition(7)
+    assert fingerprints.only_differing(left, shuffled) is None and compare.same_rows(left, shuffled)
+    assert compare.difference_by_bucket(left, shuffled).isEmpty()
+    for at, row in (
+        (0, (None, "x", 1.0, [1, None])),
+        (0, ("x", None, 1.0, [None, 1])),
+        (0, ("x", None, 1.0, [1])),
+        (3, ("", "x", 0.0, None)),
+        (4, ("", None, None, None)),
+        (4, rows[0]),
+        (304, ("299", "y", 299.5, [299])),
+    ):
+        other = moved(at, row)
+        found = {(r.a, r.b, str(r.n), str(r.list), r.saldo) for r in compare.difference_by_bucket(left, other).collect()}
+        plain = {(r.a, r.b, str(r.n), str(r.list), r.saldo) for r in compare.multiset_difference(left, other).collect()}
+        assert found == plain and len(found) == 2
+        assert not compare.same_rows(left, other)
+    # Zeros of either sign are one value, whatever their hashes are.
+    assert compare.same_rows(left, moved(3, ("", "x", -0.0, [])))
+    assert not compare.same_rows(left, left.limit(0)) and compare.same_rows(left.limit(0), left.limit(0))
+
+
+def test_equal_tables_shuffle_only_numbers(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(1000).select("id", F.repeat(F.col("id").cast("string"), 50).alias("long")).write.parquet(path)
+    buckets = fingerprints.differing_buckets(spark.read.parquet(path), spark.read.parquet(path))
+    plan = buckets._jdf.queryExecution().executedPlan().toString()
+    below = [line for line in plan.splitlines() if "HashAggregate(" in line and "partial_sum" in line]
+    assert "Exchange" in plan and below and all("long#" not in line for line in below)
+    assert buckets.isEmpty()
+
+
 def test_compare_sorted(spark):
     left = spark.createDataFrame([("b", 2.0), ("a", 1.0), (None, 3.0)], "t string, n double")
     right = spark.createDataFrame([("a", 1.00001), (None, 3.0), ("b", 2.5)], "t string, n double")

@@ -643,6 +643,14 @@ def oracles() -> dict[str, str]:
             l_linestatus, l_linenumber, count(*) AS m FROM lineitem GROUP BY 1, 2, 3)
         SELECT {keys}, coalesce(n, 0) - coalesce(m, 0) AS saldo
         FROM a FULL JOIN b USING ({keys}) WHERE coalesce(n, 0) <> coalesce(m, 0)"""
+    sql["fingerprint_difference_lines"] = """
+        WITH s AS (SELECT *, 1 AS sign FROM lineitem
+            UNION ALL SELECT * REPLACE (
+                CASE l_orderkey WHEN 7 THEN l_discount + 1 ELSE l_discount END AS l_discount), -1
+            FROM lineitem
+            UNION ALL SELECT *, -1 FROM lineitem WHERE l_orderkey = 32)
+        SELECT * EXCLUDE (sign), CAST(sum(sign) AS BIGINT) AS saldo
+        FROM s GROUP BY ALL HAVING sum(sign) <> 0"""
     sql["compare_sorted_catalogs"] = orders(
         _PAIR
         + ", "
@@ -700,17 +708,18 @@ def oracles() -> dict[str, str]:
     sql["crud_create"] = orders(f"SELECT * FROM clean UNION ALL BY NAME ({_NEW_ROW})")
     sql["crud_read"] = lines("SELECT * FROM clean WHERE id = 7")
     sql["crud_update"] = orders(
-        "SELECT id, CASE WHEN id = 7 THEN 'renamed' ELSE name END AS name, slug, "
-        "CASE WHEN id = 7 THEN 4.5::DOUBLE ELSE rating END AS rating FROM clean"
+        "SELECT * REPLACE (CASE WHEN id = 7 THEN 'renamed' ELSE name END AS name, "
+        "CASE WHEN id = 7 THEN 4.5::DOUBLE ELSE rating END AS rating) FROM clean"
     )
     sql["crud_update_many"] = orders(
-        "SELECT id, CASE WHEN c_custkey IS NULL THEN name WHEN c_acctbal > 0 THEN c_name END AS name, "
-        "slug, CASE WHEN c_custkey IS NULL THEN rating ELSE c_acctbal END AS rating "
+        "SELECT clean.* REPLACE ("
+        "CASE WHEN c_custkey IS NULL THEN name WHEN c_acctbal > 0 THEN c_name END AS name, "
+        "CASE WHEN c_custkey IS NULL THEN rating ELSE c_acctbal END AS rating) "
         "FROM clean LEFT JOIN customer ON c_custkey = id"
     )
-    sql["crud_delete"] = lines(f"SELECT {_VISIBLE} FROM clean WHERE id <> 7")
+    sql["crud_delete"] = lines("SELECT * FROM clean WHERE id <> 7")
     sql["crud_delete_many"] = orders(
-        f"SELECT {_VISIBLE} FROM clean WHERE id NOT IN (SELECT c_custkey FROM customer)"
+        "SELECT * FROM clean WHERE id NOT IN (SELECT c_custkey FROM customer)"
     )
     sql["crud_summary"] = orders(
         union(
