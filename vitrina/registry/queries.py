@@ -418,10 +418,11 @@ def validate_line_catalog(spark, sf_dir):
 
 @query
 def audit_catalog(spark, sf_dir):
-    # The raw dimensions beside the clean counts: blanks and repeats are still in.
+    # The raw dimensions beside the clean counts: blanks and repeats are still in. Both sides are
+    # whole catalogs, many times larger in memory than their compressed files, so none is broadcast.
     dirty = orders_clean(spark, sf_dir).drop(*ORDER_SPEC.dimensions)
     raw = orders_raw(spark, sf_dir).select("id", *ORDER_SPEC.dimensions)
-    return validation.audit_catalog(dirty.join(raw, "id"), ORDER_SPEC)
+    return validation.audit_catalog(dirty.join(raw.hint("merge"), "id"), ORDER_SPEC)
 
 
 @query
