@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from vitrina.operators import quantiles
 from vitrina.plans import validation
-from vitrina.registry.catalogs import LINE_SPEC
+from vitrina.plans.contract import q06_rating_by_genre
+from vitrina.registry.catalogs import LINE_SPEC, lines_clean, lines_columns
 from vitrina.registry.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
@@ -31,3 +33,44 @@ def test_audit_total_is_the_sum_of_all_but_nan(spark):
     found = {row.auditoria: row.problemas for row in audit.collect()}
     assert found["nan rating"] == 1 and found["rating"] == 2 and found["pares genres"] == 1
     assert found["total"] == sum(n for name, n in found.items() if name[:4] not in ("nan ", "tota"))
+
+
+def columns_read(df):
+    """The columns of every Parquet scan of a plan."""
+    found = []
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    for at in range(leaves.size()):
+        leaf = leaves.apply(at)
+        if "parquet" in leaf.toString():
+            found.append(sorted(name.split("#")[0] for name in leaf.output().mkString(",").split(",")))
+    return found
+
+
+def test_a_gate_cleans_only_what_it_reads(spark):
+    assert columns_read(REGISTRY["health_gate"](spark, SF)) == [["l_orderkey", "l_shipdate"]]
+
+
+def test_slug_collisions_read_no_dimension(spark):
+    for names in columns_read(REGISTRY["slug_collisions"](spark, SF)):
+        assert set(names) <= {"l_orderkey", "l_partkey", "l_linenumber"}
+
+
+def test_written_columns_are_those_of_the_clean_catalog(spark):
+    names = ("id", "genres", "rating")
+    stored = lines_columns(spark, SF, *names)
+    whole = lines_clean(spark, SF).select(*names)
+    assert stored.schema == whole.schema and stored.columns == list(names)
+    assert stored.exceptAll(whole).isEmpty() and whole.exceptAll(stored).isEmpty()
+    assert stored.inputFiles() == lines_columns(spark, SF, *names).inputFiles()
+
+
+def test_texts_are_split_once(spark):
+    rows = [(1, " |a", 9.0), (1, "a|a", 1.0), (2, " | ", 2.0), (3, None, 1.0), (None, "b", 1.0)]
+    clean = spark.createDataFrame(rows, "id long, genres string, rating double").withColumns(
+        {name: F.col("genres") for name in ("platforms", "developers", "publishers")}
+    )
+    pairs = validation.repeated_pairs(clean, LINE_SPEC)
+    assert {row.problemas for row in pairs.collect()} == {1}
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    rated = q06_rating_by_genre(clean, LINE_SPEC)
+    assert rated._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

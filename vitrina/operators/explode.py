@@ -32,11 +32,12 @@ def explode_dimension(
     """
     filled = df.filter(F.col(column).isNotNull())
     elements = stored_values if spec.normalized else dimension_values
-    values = F.explode(elements(F.col(column))).alias(column)
+    # For ``explode`` Spark adds a filter on the array, which would split the text once more.
+    values = F.explode_outer(elements(F.col(column))).alias(column)
     if spec.unique_key:
         kept = [spec.key] if with_key else []
-        return filled.select(*kept, *extras, values)
-    pairs = filled.select(spec.key, *extras, values)
+        return filled.select(*kept, *extras, values).filter(F.col(column).isNotNull())
+    pairs = filled.select(spec.key, *extras, values).filter(F.col(column).isNotNull())
     if not extras:
         return pairs.distinct()
     return pairs.groupBy(spec.key, column).agg(*(F.max(name).alias(name) for name in extras))

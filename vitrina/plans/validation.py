@@ -175,7 +175,9 @@ def repeated_pairs(clean: DataFrame, spec: CatalogSpec) -> DataFrame:
     pairs = (
         clean.select(spec.key, F.inline(F.array(*texts)))
         .filter(F.col("valores").isNotNull())
-        .select(spec.key, "dimension", F.explode(listed_values(F.col("valores"))).alias("valor"))
+        .select(spec.key, "dimension", F.explode_outer(listed_values(F.col("valores"))).alias("valor"))
+        # For ``explode`` Spark adds a filter on the array, which would split every text twice.
+        .filter(F.col("valor").isNotNull())
     )
     counts = pairs.groupBy(spec.key, "dimension", "valor").agg(F.count(F.lit(1)).alias("veces"))
     return counts.agg(
