@@ -74,3 +74,16 @@ def test_texts_are_split_once(spark):
     assert pairs._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
     rated = q06_rating_by_genre(clean, LINE_SPEC)
     assert rated._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_counts_are_made_once_for_totals_and_medians(spark, monkeypatch):
+    labels = []
+    whole = quantiles.materialize
+    monkeypatch.setattr(
+        quantiles, "materialize", lambda df, label: labels.append(label) or whole(df, label)
+    )
+    frame = spark.createDataFrame([("g", float(n % 7)) for n in range(50)] + [(None, 1.0)], "g string, v double")
+    summary = quantiles.grouped_summary(frame, "g", "v", few_values=False)
+    assert labels.count("value-counts") == 1
+    assert "LogicalRDD" not in summary._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(row) for row in summary.collect()] == [("g", 50, 2.94, 3.0, 0.0, 6.0)]

@@ -41,7 +41,9 @@ def grouped_summary(
         median = F.percentile(F.col("val").cast("double"), 0.5, F.col("freq"))
         summary = counts.groupBy("grp").agg(*totals, median.alias("median"))
     else:
-        summary = counts.groupBy("grp").agg(*totals).join(split_median(counts), "grp")
+        # Written once: the totals, and every round of the median, read the counts.
+        counts = materialize(counts, "value-counts")
+        summary = counts.groupBy("grp").agg(*totals).join(_split_median(counts), "grp")
     return summary.select(F.col("grp").alias(group), "n", "mean", "median", "low", "high")
 
 
@@ -51,7 +53,11 @@ def split_median(counts: DataFrame, cuts: int = CUTS, most: int = RANKED) -> Dat
     ``median_ranges`` narrows each group down to at most ``most`` different values around its
     middle, and only those are ranked. The counts are written once, as every round reads them.
     """
-    counts = materialize(counts.select("grp", "val", "freq"), "value-counts")
+    return _split_median(materialize(counts.select("grp", "val", "freq"), "value-counts"), cuts, most)
+
+
+def _split_median(counts: DataFrame, cuts: int = CUTS, most: int = RANKED) -> DataFrame:
+    """``split_median`` of counts that are written already."""
     middle = median_ranges(counts, cuts, most)
     up_to = Window.partitionBy("grp").orderBy("val").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
