@@ -433,6 +433,60 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(score >= 0.7 for score in clean) <= 0.03 * len(clean)
 
 
+def test_toxicity_learns_from_every_labelled_text(spark):
+    # More rows of a class than any sample took, and one text longer than it took.
+    long = "calm " * 6000 + "zzrare"
+    texts = [(n, f"word{n} calm day", None) for n in range(4000)] + [(n, f"word{n} vile scum", "x") for n in range(4000, 8000)]
+    texts += [(8002, "copy", "x"), (8003, "copy", "x"), (8004, long, "x"), (8005, None, "x")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    marks = [(n, int(n >= 4000)) for n, *_ in texts] + [(8004, 0)]
+    rows = toxicity.labelled(docs, spark.createDataFrame(marks, "doc_id long, toxic int")).collect()
+
+    def learns(doc_id):
+        return zlib.crc32(str(doc_id).encode()) % 3 != 1
+
+    wanted = {text: mark for (doc_id, text, _), (_, mark) in zip(texts, marks) if learns(doc_id) and text is not None}
+    assert len(wanted) > 2 * 2600 and long in wanted
+    assert sorted((len(row.words), row.toxic) for row in rows) == sorted(
+        (len(toxicity.rows_of(text)), mark) for text, mark in wanted.items()
+    )
+    # All of them reach the counts.
+    frame = spark.createDataFrame(rows)
+    seen = toxicity._seen_by_all(frame)
+    assert (seen == toxicity._seen([toxicity.rows_of(text) for text in wanted], list(wanted.values()))).all()
+
+
+def test_toxicity_shards_agree_with_one(spark):
+    texts = [(f"word{n % 37} {'vile scum' if n % 4 == 0 else 'calm day'} t{n}", int(n % 4 == 0)) for n in range(300)]
+    rows = [(toxicity._packed(text).tolist(), toxic, "x", n) for n, (text, toxic) in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "words array<bigint>, toxic int, lang string, draw bigint")
+    asked = ["vile scum here", "a calm day", ""]
+    for shard in (1000, 40):
+        scores = toxicity.learnt(frame.repartition(3), shard=shard).score(asked)
+        assert scores[0] > 0.7 > 0.3 > scores[1]
+        # The order of rows and of sums does not matter.
+        assert (toxicity.learnt(frame.repartition(5), shard=shard).score(asked) == scores).all()
+
+
+def test_toxicity_thresholds_per_language(spark):
+    rng = random.Random(3)
+    rows = [(lang, rng.randrange(1000) / 1000, int(rng.random() < 0.4)) for lang in "ab" for _ in range(400)]
+    rows += [("few", 0.5, 1)] * 20 + [("few", 0.1, 0)] * 3
+    found = toxicity.lang_thresholds(spark.createDataFrame(rows, "lang string, score double, toxic int"))
+    assert sorted(found) == ["a", "b"]
+    for lang in "ab":
+        own = [(score, toxic) for name, score, toxic in rows if name == lang]
+        cuts = sorted({score for score, _ in own}, reverse=True)
+
+        def balance(cut):
+            hits = sum(toxic for score, toxic in own if score >= cut)
+            return 2 * hits / (sum(score >= cut for score, _ in own) + sum(toxic for _, toxic in own))
+
+        best = max(range(len(cuts)), key=lambda at: (balance(cuts[at]), -at))
+        below = cuts[best + 1] if best + 1 < len(cuts) else 0.0
+        assert found[lang] == pytest.approx((cuts[best] + below) / 2)
+
+
 def test_toxicity_without_both_classes():
     assert toxicity.train([], np.zeros(0)).score(["x", ""]).tolist() == [0.0, 0.0]
     assert toxicity.train(["a", "b"], np.ones(2)).score(["x"]).tolist() == [1.0]
