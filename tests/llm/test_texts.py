@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import tempfile
 import zlib
 
 import numpy as np
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 
 from vitrina.llm import byte_bpe, license_scan, packing, pii, shingle_join, suffix_dedup, toxicity
 from vitrina.llm.registry import LLM_QUERIES
+from vitrina.llm.tables import with_settings
 
 SF = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -456,6 +458,25 @@ def test_toxicity_learns_from_every_labelled_text(spark):
     assert (seen == toxicity._seen([toxicity.rows_of(text) for text in wanted], list(wanted.values()))).all()
 
 
+def test_toxicity_drops_other_texts_before_they_are_shuffled(spark):
+    docs = [(n, f"text {n % 50}", "en") for n in range(400)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    marks = [(n, n % 2) for n in range(0, 400, 4)] + [(0, 1), (8, None), (12, 7), (None, 1)]
+    marks = spark.createDataFrame(marks, "doc_id long, toxic int")
+    wanted = sorted(map(tuple, toxicity.labelled(docs, marks).collect()))
+    name = "spark.sql.optimizer.runtime.bloomFilter.numBits"
+    before = spark.conf.get(name)
+    with with_settings(spark, {**toxicity.LABELLED_FIRST, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        folder = tempfile.mkdtemp(prefix="vitrina-tests-")
+        docs.write.parquet(f"{folder}/docs")
+        marks.write.parquet(f"{folder}/marks")
+        rows = toxicity.labelled(spark.read.parquet(f"{folder}/docs"), spark.read.parquet(f"{folder}/marks"))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("bloom_filter_agg(") == 2  # partial and final, of one filter
+        assert sorted(map(tuple, rows.collect())) == wanted
+    assert spark.conf.get(name) == before
+
+
 def test_toxicity_shards_agree_with_one(spark):
     texts = [(f"word{n % 37} {'vile scum' if n % 4 == 0 else 'calm day'} t{n}", int(n % 4 == 0)) for n in range(300)]
     rows = [(toxicity._packed(text).tolist(), toxic, "x", n) for n, (text, toxic) in enumerate(texts)]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,22 @@ def id_and_text(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+@contextmanager
+def with_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """The session with other settings, for as long as the block runs."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 #: Spark then deletes the shuffle files of a job as soon as the job has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from vitrina.llm.tables import discard, table, written
+from vitrina.llm.tables import discard, table, with_settings, written
 
 THRESHOLD = 0.7
 #: Texts of a shard on average.
@@ -54,6 +54,17 @@ CACHED = 1 << 18
 #: Changes of parameters are summed as multiples of one over this.
 UNIT = 1 << 44
 
+#: Ids of labels as a Bloom filter of 8 MB, so that other texts are dropped before they are shuffled.
+LABELLED_FIRST = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
+    # Only the first join gets one, not labels from all documents.
+    "spark.sql.optimizer.runtimeFilter.number.threshold": "1",
+}
+
 WORD = regex.compile(r"[^\W_]+")
 PAD = max(WIDTHS) - 1
 
@@ -316,17 +327,17 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Of copies one id gives the label and the language. ``draw`` is the hash of the text.
     """
-    marked = (
-        labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)")
-        .groupBy("doc_id")
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-        .filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(
+        F.crc32(F.col("doc_id").cast("string")) % 3 != 1
     )
+    marked = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
     one = F.max(F.struct(F.xxhash64("doc_id", F.lit(3)), "doc_id", "toxic", lang)).alias("one")
     texts = (
         docs.filter("text IS NOT NULL")
         .select("doc_id", "text", "lang")
+        # A join of its own, as Spark makes a Bloom filter of a filtered table, not of groups.
+        .join(known.select("doc_id"), "doc_id", "left_semi")
         .join(marked, "doc_id")
         .groupBy("text")
         .agg(one)
@@ -495,7 +506,8 @@ def _scored_rows(rows: DataFrame, model: Model) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, dict[str, float]]:
     """The model and the threshold of each language."""
-    rows = written(labelled(docs, labels), "toxicity-texts")
+    with with_settings(docs.sparkSession, LABELLED_FIRST):
+        rows = written(labelled(docs, labels), "toxicity-texts")
     aside = F.pmod("draw", F.lit(CALIBRATES)) == 0
     model = learnt(rows.filter(~aside))
     return model, lang_thresholds(_scored_rows(rows.filter(aside), model))
