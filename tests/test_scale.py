@@ -1,7 +1,11 @@
 """Plans and inputs that must stay bounded as tables grow."""
 
+import random
+
 from pyspark.sql import functions as F
 
+from vitrina.functions.dimensions import dimension_values, listed_values
+from vitrina.functions.text import WHITESPACE, stripped
 from vitrina.operators import quantiles
 from vitrina.plans import validation
 from vitrina.plans.contract import q06_rating_by_genre
@@ -87,3 +91,39 @@ def test_counts_are_made_once_for_totals_and_medians(spark, monkeypatch):
     assert labels.count("value-counts") == 1
     assert "LogicalRDD" not in summary._jdf.queryExecution().optimizedPlan().toString()
     assert [tuple(row) for row in summary.collect()] == [("g", 50, 2.94, 3.0, 0.0, 6.0)]
+
+
+def test_values_are_those_stripped_one_by_one(spark):
+    made = random.Random(5)
+    parts = [*WHITESPACE, " ", "||", "|", "|", "a", "É", "\u200b", "\x1c", "b c", "日"]
+    texts = ["".join(made.choices(parts, k=made.randint(0, 12))) for _ in range(3000)]
+    texts += [None, "", "|", " a | b ", "a  |  b|a", "\u3000a\n|\u3000", " " * 50_000 + "x" + "\t" * 50_000 + "y"]
+    frame = spark.createDataFrame([(text,) for text in texts], "text string")
+    one_by_one = F.array_remove(F.transform(F.split("text", r"\|"), stripped), "")
+    wrong = ~listed_values(F.col("text")).eqNullSafe(one_by_one) | ~dimension_values(
+        F.col("text")
+    ).eqNullSafe(F.array_distinct(one_by_one))
+    assert frame.filter(wrong).isEmpty()
+
+
+def test_no_lambda_runs_per_element(spark):
+    lines = lines_clean(spark, SF)
+    for df in (
+        lines,
+        q06_rating_by_genre(lines, LINE_SPEC),
+        validation.repeated_pairs(lines, LINE_SPEC),
+        REGISTRY["audit_line_catalog"](spark, SF),
+    ):
+        assert "lambdafunction" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_raw_catalogs_are_cleaned_by_compiled_code(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        for given, wanted in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(name, given)
+            lines_clean(spark, SF)
+            assert spark.conf.get(name) == wanted
+    finally:
+        spark.conf.set(name, before)

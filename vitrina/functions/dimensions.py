@@ -1,8 +1,9 @@
 """Multi-valued attributes kept as pipe-delimited text.
 
-Elements are stripped one by one after a plain split. That measures at well below the
-cost of one pattern that also takes the whitespace around the pipes, and it mentions the
-column once, so that a filter on the result stays small when it is pushed down.
+Whitespace around the pipes goes before a plain split: single spaces by replacing text, the
+rest by a pattern that only those texts meet which still need it. No lambda runs per element,
+so Spark compiles all of it. It mentions the column several times; what explodes or filters the
+values has them as a column of their own first.
 """
 
 from __future__ import annotations
@@ -10,18 +11,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vitrina.functions.text import stripped
-
 # The delimiter, and the pattern of an element that is empty.
 # ``(?U)`` extends ``\s`` to all Unicode whitespace.
 DELIMITER = "|"
 DELIMITER_PATTERN = r"\|"
 EMPTY_ELEMENT_PATTERN = r"(?U)(^\s*\|)|(\|\s*$)|(\|\s*\|)"
+# Whitespace at a pipe, and characters that may be whitespace other than spaces.
+PADDING_PATTERN = r"(?U)\|\s*+|(?<!\s)\s++(?=\|)"
+RARE_PATTERN = "[^ -~]"
+RARE_WHITESPACE_PATTERN = r"(?U)[^\S ]"
+
+
+def _unpadded(column: Column) -> Column:
+    """The text between two pipes, without whitespace at any pipe; there may be more pipes."""
+    text = F.concat(F.lit(DELIMITER), column, F.lit(DELIMITER))
+    text = F.replace(F.replace(text, F.lit(" |"), F.lit("|")), F.lit("| "), F.lit("|"))
+    spaces = F.contains(text, F.lit(" |")) | F.contains(text, F.lit("| "))
+    rare = text.rlike(RARE_PATTERN) & text.rlike(RARE_WHITESPACE_PATTERN)
+    return F.when(spaces | rare, F.regexp_replace(text, PADDING_PATTERN, DELIMITER)).otherwise(text)
 
 
 def listed_values(column: Column) -> Column:
     """All non-empty elements, stripped, repeats included; NULL for NULL."""
-    return F.array_remove(F.transform(F.split(column, DELIMITER_PATTERN), stripped), "")
+    return F.array_remove(F.split(_unpadded(column), DELIMITER_PATTERN), "")
 
 
 def dimension_values(column: Column) -> Column:

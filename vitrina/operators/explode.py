@@ -32,12 +32,13 @@ def explode_dimension(
     """
     filled = df.filter(F.col(column).isNotNull())
     elements = stored_values if spec.normalized else dimension_values
-    # For ``explode`` Spark adds a filter on the array, which would split the text once more.
-    values = F.explode_outer(elements(F.col(column))).alias(column)
+    # A column before it is exploded, as the text is split by compiled code then. For ``explode``
+    # Spark adds a filter on the array, which would split the text once more.
+    kept = [spec.key, *extras] if with_key or not spec.unique_key else [*extras]
+    split = filled.select(*kept, elements(F.col(column)).alias(column))
+    pairs = split.withColumn(column, F.explode_outer(column)).filter(F.col(column).isNotNull())
     if spec.unique_key:
-        kept = [spec.key] if with_key else []
-        return filled.select(*kept, *extras, values).filter(F.col(column).isNotNull())
-    pairs = filled.select(spec.key, *extras, values).filter(F.col(column).isNotNull())
+        return pairs.select(*kept, column)
     if not extras:
         return pairs.distinct()
     return pairs.groupBy(spec.key, column).agg(*(F.max(name).alias(name) for name in extras))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrina.plans.cleaning import clean_catalog
-from vitrina.session import materialize
+from vitrina.session import keep_compilable, materialize
 from vitrina.spec import CatalogSpec
 
 TABLES = (
@@ -144,6 +144,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _raw(df: DataFrame, columns) -> DataFrame:
+    # Raw catalogs are there to be cleaned, which is a wide projection.
+    keep_compilable(df.sparkSession)
     types = {"S": "STRING", "D": "DOUBLE"}
     return df.selectExpr(*(f"{text.format(**types)} AS {name}" for name, text in columns))
 

@@ -19,6 +19,17 @@ SESSION_DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+
+def keep_compilable(spark: SparkSession) -> None:
+    """Set the limit on generated methods in a session that ``build_session`` did not make.
+
+    It changes no result. A session that has a lower limit keeps it.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name, "65535")) > int(SESSION_DEFAULTS[name]):
+        spark.conf.set(name, SESSION_DEFAULTS[name])
+
+
 def build_session(app_name: str, **overrides: str) -> SparkSession:
     """A session with the defaults above.
 
