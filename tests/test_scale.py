@@ -127,3 +127,13 @@ def test_raw_catalogs_are_cleaned_by_compiled_code(spark):
             assert spark.conf.get(name) == wanted
     finally:
         spark.conf.set(name, before)
+
+
+def test_pairs_carry_no_name_of_their_dimension(spark):
+    clean = spark.createDataFrame([(1, "a|b", "a"), (1, "a", "a")], "id long, genres string, platforms string")
+    clean = clean.withColumns({name: F.lit(None).cast("string") for name in ("developers", "publishers")})
+    pairs = validation.repeated_pairs(clean, LINE_SPEC)
+    found = {row.auditoria: row.problemas for row in pairs.collect()}
+    assert found == {"pares genres": 1, "pares platforms": 1, "pares developers": 0, "pares publishers": 0}
+    # A number, so that a name is not shuffled with each pair.
+    assert "cast(3 as tinyint)" in pairs._jdf.queryExecution().analyzed().toString()

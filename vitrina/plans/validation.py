@@ -166,24 +166,27 @@ def audit_catalog(clean: DataFrame, spec: CatalogSpec) -> DataFrame:
 def repeated_pairs(clean: DataFrame, spec: CatalogSpec) -> DataFrame:
     """Pairs of key and dimension value that occur more than once, per dimension.
 
-    All dimensions are exploded together and grouped once.
+    All dimensions are exploded together and grouped once. A pair carries the number of its
+    dimension, as a name in each would be a good part of what is shuffled.
     """
     texts = [
-        F.struct(F.lit(name).alias("dimension"), F.col(name).alias("valores"))
-        for name in spec.dimensions
+        F.struct(F.lit(number).cast("tinyint").alias("dimension"), F.col(name).alias("valores"))
+        for number, name in enumerate(spec.dimensions)
     ]
     pairs = (
         clean.select(spec.key, F.inline(F.array(*texts)))
         .filter(F.col("valores").isNotNull())
-        .select(spec.key, "dimension", F.explode_outer(listed_values(F.col("valores"))).alias("valor"))
+        # A column before it is exploded, as the text is split by compiled code then.
+        .select(spec.key, "dimension", listed_values(F.col("valores")).alias("valores"))
+        .select(spec.key, "dimension", F.explode_outer("valores").alias("valor"))
         # For ``explode`` Spark adds a filter on the array, which would split every text twice.
         .filter(F.col("valor").isNotNull())
     )
     counts = pairs.groupBy(spec.key, "dimension", "valor").agg(F.count(F.lit(1)).alias("veces"))
     return counts.agg(
         *(
-            F.count_if((F.col("dimension") == name) & (F.col("veces") > 1)).alias(name)
-            for name in spec.dimensions
+            F.count_if((F.col("dimension") == number) & (F.col("veces") > 1)).alias(name)
+            for number, name in enumerate(spec.dimensions)
         )
     ).select(
         F.inline(
