@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vitrina.functions.dimensions import dimension_values, listed_values
 from vitrina.functions.text import WHITESPACE, stripped
 from vitrina.operators import quantiles
+from vitrina.operators.duplicates import collision_groups
 from vitrina.plans import validation
 from vitrina.plans.contract import q06_rating_by_genre
 from vitrina.registry.catalogs import LINE_SPEC, lines_clean, lines_columns
@@ -137,3 +138,14 @@ def test_pairs_carry_no_name_of_their_dimension(spark):
     assert found == {"pares genres": 1, "pares platforms": 1, "pares developers": 0, "pares publishers": 0}
     # A number, so that a name is not shuffled with each pair.
     assert "cast(3 as tinyint)" in pairs._jdf.queryExecution().analyzed().toString()
+
+
+def test_members_are_listed_once_for_a_sort(spark):
+    rows = [(f"s{n % 7}", n % 50, "x") for n in range(400)] + [(None, 1, "y"), ("alone", 1, "z")]
+    groups = collision_groups(spark.createDataFrame(rows, "slug string, id long, name string"), "slug", "id", "name")
+    lines = plan_of(groups).splitlines()
+    below = next(at for at, line in enumerate(lines) if "rangepartitioning" in line) + 1
+    assert "Exchange" in lines[below]
+    assert [(row.slug, row.cantidad) for row in groups.collect()] == sorted(
+        ((f"s{n}", 58 if n == 0 else 57) for n in range(7)), key=lambda one: (-one[1], one[0])
+    )

@@ -79,5 +79,7 @@ def collision_groups(
             F.col(f"miembros.{label}").alias("nombres"),
             F.col("miembros.veces").alias("veces"),
         )
+        # A sort samples its input, which would join and list all members once more.
+        .repartition(key, "parte")
         .orderBy(F.desc("cantidad"), key, "parte")
     )
