@@ -10,6 +10,7 @@ from vitrina.operators import quantiles
 from vitrina.operators.duplicates import collision_groups
 from vitrina.plans import validation
 from vitrina.plans.contract import q06_rating_by_genre
+from vitrina.registry import catalogs
 from vitrina.registry.catalogs import LINE_SPEC, lines_clean, lines_columns
 from vitrina.registry.queries import REGISTRY
 
@@ -149,3 +150,16 @@ def test_members_are_listed_once_for_a_sort(spark):
     assert [(row.slug, row.cantidad) for row in groups.collect()] == sorted(
         ((f"s{n}", 58 if n == 0 else 57) for n in range(7)), key=lambda one: (-one[1], one[0])
     )
+
+
+def test_clean_orders_need_no_written_raw_ones(spark, monkeypatch):
+    labels = []
+    whole = catalogs.materialize
+    monkeypatch.setattr(catalogs, "_stored", {})
+    monkeypatch.setattr(
+        catalogs, "materialize", lambda df, label: labels.append(label) or whole(df, label)
+    )
+    clean = catalogs.orders_clean(spark, SF)
+    assert labels == ["orders-clean"]
+    again = catalogs.clean_catalog(catalogs.orders_raw(spark, SF), catalogs.ORDER_SPEC)
+    assert clean.exceptAll(again).isEmpty() and again.exceptAll(clean).isEmpty()
